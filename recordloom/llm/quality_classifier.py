@@ -22,11 +22,11 @@ from recordloom.llm.common import Memo, filter_rows, map_arrow, table
 
 #: Features, labelled texts of each grade that are fitted on (about), and the grades: toxic, poor, good.
 FEATURES, SAMPLE, GRADES = 1 << 18, 2500, 3
-#: A word counts as a feature if so many fitted texts hold it.
-COMMON = 8
+#: A feature takes part if so many fitted texts have it, and its mean differs between two grades by so many standard errors.
+COMMON, TELLING = 8, 5.0
 #: Documents with a smaller tail probability of the best grade are rejected.
 ACCEPT = 0.5
-STEPS, RATE, RIDGE = 250, 0.15, 2e-3
+STEPS, RATE, RIDGE = 300, 0.2, 3e-4
 
 
 def _shape(word: str) -> str:
@@ -75,20 +75,28 @@ class Ordinal:
         return float(tails.sum()), float(tails[-1])
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int = GRADES, *, steps: int = STEPS, rate: float = RATE, ridge: float = RIDGE, common: int = COMMON) -> Ordinal:
-    """Fits by full-batch Adam on the cumulative-link likelihood, each grade weighing the same."""
+def train(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int = GRADES, *, steps: int = STEPS, rate: float = RATE, ridge: float = RIDGE, common: int = COMMON, telling: float = TELLING) -> Ordinal:
+    """Fits by full-batch Adam on the cumulative-link likelihood over the features that tell grades apart."""
     weights, thresholds = np.zeros(FEATURES), np.linspace(-1.0, 1.0, n_grades - 1)
     if not len(rows):
         return Ordinal(weights, thresholds)
     at, values = np.concatenate([a for a, _ in rows]), np.concatenate([v for _, v in rows])
     row = np.repeat(np.arange(len(rows)), [len(a) for a, _ in rows])
     seen = np.bincount(at, minlength=FEATURES)
-    often = (seen >= min(common, len(rows))) & (np.arange(FEATURES) > 0)
+    of = [np.bincount(grades, minlength=n_grades)[g] for g in range(n_grades)]
+    sums = [np.bincount(at, values * (grades[row] == g), FEATURES) for g in range(n_grades)]
+    squares = [np.bincount(at, values**2 * (grades[row] == g), FEATURES) for g in range(n_grades)]
+    apart = np.zeros(FEATURES)
+    for low in range(n_grades - 1):  # the grades up to ``low`` against those above
+        na, nb = max(1, sum(of[: low + 1])), max(1, sum(of[low + 1 :]))
+        ma, mb = sum(sums[: low + 1]) / na, sum(sums[low + 1 :]) / nb
+        pooled = sum(squares) / (na + nb) - (sum(sums) / (na + nb)) ** 2
+        apart = np.maximum(apart, np.abs(ma - mb) / np.sqrt(np.maximum(pooled, 1e-9) * (1 / na + 1 / nb)))
+    often = (seen >= min(common, len(rows))) & (apart >= telling) & (np.arange(FEATURES) > 0)
     keep = often[at]
     live = np.flatnonzero(often)
     at, values, row = np.searchsorted(live, at[keep]), values[keep], row[keep]
-    weight = 1 / np.bincount(grades, minlength=n_grades).clip(1)[grades]
-    weight /= weight.sum()
+    weight = 1 / len(grades)
     w, gaps = np.zeros(len(live)), np.log(np.diff(thresholds, prepend=thresholds[0] - 1))  # thresholds as a start and positive gaps
     start = thresholds[0]
     params = np.concatenate([w, [start], gaps[1:]])
