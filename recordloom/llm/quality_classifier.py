@@ -136,7 +136,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Ordinal:
         return train([], np.empty(0, np.int64))
     share = F.element_at(F.create_map(*(F.lit(x) for g in range(GRADES) for x in (g, sample / sizes.get(g, 1)))), F.col("grade"))
     own = (F.xxhash64(F.lit(2), "doc_id") % 1_000_003 + 1_000_003) % 1_000_003 / F.lit(1_000_003.0)
-    picked = rows.join(known.where(own < share), "doc_id").select("doc_id", "grade", "text")
+    # About ``sample`` rows of each of three grades, whatever the input: small enough to broadcast, so no text is shuffled.
+    picked = rows.join(F.broadcast(known.where(own < share)), "doc_id").select("doc_id", "grade", "text")
     schema = StructType([StructField("doc_id", LongType()), StructField("grade", IntegerType()), StructField("at", ArrayType(IntegerType())), StructField("v", ArrayType(FloatType()))])
 
     def run(ids: list, grades: list, texts: list) -> list:
