@@ -88,8 +88,9 @@ def paths(nodes: DataFrame, *, branches: int = 1) -> DataFrame:
     while True:
         last = jumps[-1]
         on = last.select(F.col("tree").alias("t2"), F.col("node").alias("n2"), F.col("to").alias("to2"), F.col("steps").alias("s2"), F.col("score").alias("sc2"))
-        # ``steps`` and ``score`` cover the messages from ``node`` to just before ``to``, or to the root.
-        nxt = last.join(on, same("tree", "t2") & (F.col("to") == F.col("n2")), "left").select("tree", "node", F.col("to2").alias("to"), (F.col("steps") + F.coalesce("s2", F.lit(0))).alias("steps"), (F.col("score") + F.coalesce("sc2", F.lit(0.0))).alias("score"))
+        # ``steps`` and ``score`` cover the messages from ``node`` to just before ``to``, or to the root; those there go no further.
+        further = last.where("to is not null").join(on, same("tree", "t2") & (F.col("to") == F.col("n2"))).select("tree", "node", F.col("to2").alias("to"), (F.col("steps") + F.col("s2")).alias("steps"), (F.col("score") + F.col("sc2")).alias("score"))
+        nxt = last.where("to is null").union(further)
         jumps.append(materialize(nxt, "jumps"))
         open_, before = (j.where("to is not null").count() for j in jumps[-1:] + jumps[-2:-1])
         if not open_ or open_ == before:
