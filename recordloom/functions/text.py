@@ -43,3 +43,19 @@ def links(html: Column) -> Column:
 def redacted(text: Column, pattern: str, mark: str) -> tuple[Column, Column]:
     """The text with each match replaced, and how many there were."""
     return F.regexp_replace(text, pattern, mark), F.regexp_count(text, F.lit(pattern))
+
+
+def canonical(text: Column) -> Column:
+    """The ASCII letters and digits alone, in upper case."""
+    return F.upper(F.regexp_replace(text, "[^A-Za-z0-9]", ""))
+
+
+def surname(name: Column) -> Column:
+    """What stands before a comma, else the last word, without a generation's mark or a bracket."""
+    bare = F.trim(F.regexp_replace(name, r"\s*[\[(].*$|,?\s+(?:Jr|Sr|II|III|IV)\.?$", ""))
+    return F.when(bare.contains(","), F.trim(F.substring_index(bare, ",", 1))).otherwise(F.element_at(F.split(bare, r"\s+"), -1))
+
+
+def chamber_before(text: Column, start: Column) -> Column:
+    """``House`` or ``Senate`` if it is the word right before an offset, else null."""
+    return F.nullif(F.regexp_extract(F.substring(text, F.greatest(start - 11, F.lit(1)), F.least(start, F.lit(12))), r"\b(House|Senate)\s*$", 1), F.lit(""))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,3 +35,11 @@ def normalized_url(url: Column) -> Column:
     rest = F.substr(bare, F.length(head) + 1)
     head = F.regexp_replace(F.regexp_replace(head, r"^(http://[^/]*):80$", "$1"), r"^(https://[^/]*):443$", "$1")
     return F.regexp_replace(F.concat(head, rest), r"/$", "")
+
+
+def banded(value: Column, bands: Sequence[tuple[float, str]], otherwise: str) -> Column:
+    """The name of the first band whose least value is reached; bands go from high to low."""
+    out = F.lit(otherwise)
+    for least, name in reversed(bands):
+        out = F.when(value >= least, name).otherwise(out)
+    return out

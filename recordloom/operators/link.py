@@ -55,8 +55,8 @@ def islands(rows: DataFrame, key: str, at: Column, gap: int) -> DataFrame:
     return numbered.groupBy(key, "n_island").agg(F.min("__at").alias("start_s"), F.max("__at").alias("end_s"), F.count("*").alias("n"))
 
 
-def best_by_tokens(queries: DataFrame, rows: DataFrame, *, k: int, least: float) -> DataFrame:
-    """The k rows whose token sets are nearest to each query's by Jaccard: ``q_id, r_id, score, rank``.
+def pairs_by_tokens(queries: DataFrame, rows: DataFrame, *, least: float) -> DataFrame:
+    """All pairs whose token sets have a Jaccard of at least ``least``: ``q_id, r_id, score``.
 
     Inputs are ``(id, tokens)`` with distinct tokens. Only pairs that share a token
     of the prefix that any pair of that score must share meet (rarest tokens first).
@@ -71,6 +71,10 @@ def best_by_tokens(queries: DataFrame, rows: DataFrame, *, k: int, least: float)
         return long.withColumn("n", F.row_number().over(w)).where(F.col("n") <= F.col("size") - F.ceil(F.col("size") * least) + 1).select(name, "t")
 
     pairs = prefixes(queries, "q_id").join(prefixes(rows, "r_id"), "t").select("q_id", "r_id").distinct()
-    scored = pairs.join(queries.select(F.col("id").alias("q_id"), F.col("tokens").alias("qt")), "q_id").join(rows.select(F.col("id").alias("r_id"), F.col("tokens").alias("rt")), "r_id").select("q_id", "r_id", jaccard(F.col("qt"), F.col("rt")).alias("score")).where(F.col("score") >= least)
+    return pairs.join(queries.select(F.col("id").alias("q_id"), F.col("tokens").alias("qt")), "q_id").join(rows.select(F.col("id").alias("r_id"), F.col("tokens").alias("rt")), "r_id").select("q_id", "r_id", jaccard(F.col("qt"), F.col("rt")).alias("score")).where(F.col("score") >= least)
+
+
+def best_by_tokens(queries: DataFrame, rows: DataFrame, *, k: int, least: float) -> DataFrame:
+    """The k rows whose token sets are nearest to each query's by Jaccard: ``q_id, r_id, score, rank``; see ``pairs_by_tokens``."""
     w = Window.partitionBy("q_id").orderBy(F.col("score").desc(), "r_id")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return pairs_by_tokens(queries, rows, least=least).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -9,25 +9,8 @@ from pyspark.sql import functions as F
 
 from recordloom.functions import keys, text, values
 from recordloom.operators import diff, link, quality, select
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def registered(sql: str | None = None):
-    """Registers a function of a table reader under its own name, with its SQL."""
-
-    def add(fn: Callable[[Callable[[str], DataFrame]], DataFrame]):
-        QUERIES[fn.__name__] = lambda spark, sf_dir: fn(lambda name: _table(spark, sf_dir, name))
-        if sql:
-            SQL[fn.__name__] = sql
-        return fn
-
-    return add
+from recordloom.plans import texts  # noqa: F401  registers its queries
+from recordloom.plans.registry import QUERIES, SQL, registered
 
 
 def seconds(ts: str = "ts"):
