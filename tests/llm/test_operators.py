@@ -121,14 +121,19 @@ def test_token_prefixes_and_budgets(library):
     assert own.exact(long) == len(library.encode(long, add_special_tokens=False).ids)
 
 
-def test_golay_covers_and_near_prints_meet(spark):
-    _, leader, reach = simhash_dedup.anchors()
-    assert (leader >= 0).all() and all(len(r) < 100 for r in reach)
+def test_golay_covers():
+    _, leader, _, _, reach = simhash_dedup.anchors()
+    assert (leader >= 0).all() and all(sum(of.shape[1] for of in r) < 100 and r[0].shape[1] == 1 for r in reach)
+
+
+@pytest.mark.parametrize(("codes", "block"), [(1, 1 << 17), (2, 1 << 17), (1, 5), (2, 1)])
+def test_near_prints_meet(spark, monkeypatch, codes, block):
+    monkeypatch.setattr(simhash_dedup, "BLOCK", block)
     rng = random.Random(3)
-    prints = [rng.getrandbits(64) for _ in range(150)]
+    prints = [rng.getrandbits(64) for _ in range(150 if codes == 1 else 20)]
     prints += [p ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 3))) for p in prints for _ in range(2)] + [0, 1, 3, 7, 15, 255]
     signed = sorted({p - (p >> 63 << 64) for p in prints})
-    links = simhash_dedup.near_fingerprints(spark.createDataFrame([(p,) for p in signed], "fp long"))
+    links = simhash_dedup.near_fingerprints(spark.createDataFrame([(p,) for p in signed], "fp long"), codes)
     got = {r.node: r.comp for r in graph.connected_components(links).collect()}
     parent = {p: p for p in signed}
 
