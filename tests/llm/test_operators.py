@@ -156,6 +156,12 @@ def test_components_of_chains(spark):
     assert got == {i: 0 for i in range(71)} | {i: 100 for i in range(100, 400)}
 
 
+def test_components_of_a_shuffled_chain(spark):
+    order = random.Random(8).sample(range(1000, 2000), 1000)
+    got = {r.node: r.comp for r in graph.connected_components(spark.createDataFrame(list(zip(order, order[1:])), "a long, b long"), rounds=20).collect()}
+    assert got == dict.fromkeys(range(1000, 2000), 1000)
+
+
 def test_fingerprint_by_definition(spark, docs):
     text = "The quick\tbrown fox  jumps THE quick brown"
     words = text.lower().split()
