@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions import keys, text, values
 from recordloom.operators import diff, link, quality, select
-from recordloom.plans import texts  # noqa: F401  registers its queries
+from recordloom.plans import checks, texts  # noqa: F401  register their queries
 from recordloom.plans.registry import QUERIES, SQL, registered
 
 
