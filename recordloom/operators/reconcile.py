@@ -110,3 +110,24 @@ def first_field_match(rows: DataFrame, key: str, fields: Sequence[str], pattern:
         every = every.union(more)
     best = every.join(catalog, "value").groupBy(key).agg(F.min_by(F.struct("value", "i"), F.struct("i", "position", "value")).alias("x"))
     return best.select(key, F.col("x.value").alias("value"), F.element_at(F.array(*map(F.lit, fields)), F.col("x.i") + 1).alias("field"))
+
+
+def inventory(key: str, **sides: DataFrame) -> DataFrame:
+    """``key`` with, for each named side, how many of its rows have it; one aggregation over all sides. Null keys count as one key."""
+    every = None
+    for name in sides:
+        one = sides[name].select(key, *(F.lit(int(n == name)).alias(n) for n in sides))
+        every = one if every is None else every.union(one)
+    return every.groupBy(key).agg(*(F.sum(n).alias(n) for n in sides))
+
+
+def collected(rows: DataFrame, key: str, fields: Sequence[str], many: str) -> DataFrame:
+    """One row for each key: ``fields``, all distinct ``many`` values in order, joined by U+001F, and ``refused``.
+
+    A key whose rows differ in ``fields`` is refused, its fields null. ``many`` must
+    come from a bounded vocabulary, as its values meet in one row.
+    """
+    whole = F.struct(*fields)
+    got = rows.groupBy(key).agg(F.min(whole).alias("__a"), F.max(whole).alias("__b"), F.array_join(F.sort_array(F.collect_set(many)), "\u001f").alias(many))
+    same = F.col("__a").eqNullSafe(F.col("__b"))
+    return got.select(key, *(F.when(same, F.col(f"__a.{f}")).alias(f) for f in fields), many, F.when(~same, "differs").alias("refused"))

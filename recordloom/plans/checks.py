@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from recordloom.functions import identifiers
 from recordloom.operators import coordinates, reconcile
 from recordloom.plans.registry import registered
+from recordloom.sources import structured
 
 _DAY = "date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE))"
 
@@ -95,3 +96,36 @@ def section_coordinates(t):
     found = coordinates.coordinates(t("documents"), "doc_id", "text").groupBy("kind").agg(F.count("*").alias("n"))
     kinds = t("documents").sparkSession.createDataFrame([("code",), ("regulations",)], "kind string")
     return kinds.join(found, "kind", "left").select("kind", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@registered("""
+WITH k AS (SELECT c_custkey AS k, 1 AS customers, 0 AS orders, 0 AS suppliers FROM customer UNION ALL SELECT o_custkey, 0, 1, 0 FROM orders UNION ALL SELECT s_suppkey, 0, 0, 1 FROM supplier)
+SELECT k, CAST(sum(customers) AS BIGINT) AS customers, CAST(sum(orders) AS BIGINT) AS orders, CAST(sum(suppliers) AS BIGINT) AS suppliers FROM k GROUP BY 1""")
+def key_inventory(t):
+    sides = {"customers": ("customer", "c_custkey"), "orders": ("orders", "o_custkey"), "suppliers": ("supplier", "s_suppkey")}
+    return reconcile.inventory("k", **{n: t(table).select(F.col(c).alias("k")) for n, (table, c) in sides.items()})
+
+
+@registered("""
+SELECT p_brand, CASE WHEN count(DISTINCT p_size) = 1 THEN min(p_size) END AS p_size, string_agg(DISTINCT p_type, chr(31) ORDER BY p_type) AS p_type, CASE WHEN count(DISTINCT p_size) > 1 THEN 'differs' END AS refused
+FROM part WHERE p_size IS NOT NULL AND p_type IS NOT NULL GROUP BY 1""")
+def collected_brands(t):
+    return reconcile.collected(t("part").where("p_size is not null and p_type is not null"), "p_brand", ["p_size"], "p_type")
+
+
+@registered("""
+SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.99), 4) AS p99 FROM (SELECT l_returnflag, l_extendedprice, unnest(range(CAST(l_quantity AS BIGINT))) FROM lineitem) GROUP BY 1""")
+def weighted_p99_by_group(t):
+    return t("lineitem").groupBy("l_returnflag").agg(F.round(F.percentile("l_extendedprice", 0.99, F.col("l_quantity").cast("long")), 4).alias("p99"))
+
+
+@registered("""
+SELECT event_type, CASE WHEN list_contains(json_keys(props), 'k') AND len(json_keys(props)) = 1 THEN 'closed' ELSE 'open' END AS shape, count(*) AS n FROM events WHERE props IS NOT NULL GROUP BY 1, 2""")
+def closed_props(t):
+    shape = F.when(structured.shape_problem(F.col("props"), ["k"], ["k"]).isNull(), "closed").otherwise("open")
+    return t("events").where("props is not null").groupBy("event_type", shape.alias("shape")).agg(F.count("*").alias("n"))
+
+
+@registered()
+def page_events(t):
+    return structured.html_events(t("pages"), "page_id", "html").groupBy("page_id", "kind").agg(F.count("*").alias("n"))
