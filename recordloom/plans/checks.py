@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordloom.functions import identifiers
-from recordloom.operators import coordinates, reconcile
+from recordloom.operators import coordinates, reconcile, records
 from recordloom.plans.registry import registered
 from recordloom.sources import structured
 
@@ -129,3 +129,34 @@ def closed_props(t):
 @registered()
 def page_events(t):
     return structured.html_events(t("pages"), "page_id", "html").groupBy("page_id", "kind").agg(F.count("*").alias("n"))
+
+
+@registered("""
+WITH e AS (SELECT user_id, max(epoch_us(ts)) AS at, max_by(event_type, (epoch_us(ts), event_id)) AS event_type, count(*) AS n_tried FROM events GROUP BY 1)
+SELECT user_id, event_type, n_tried, event_type <> 'purchase' AS due FROM e""")
+def journal_of_users(t):
+    rows = t("events").withColumn("seq", F.struct("ts", "event_id"))
+    return records.journal_state(rows, "user_id", "seq", "event_type", done="purchase")
+
+
+@registered("""
+SELECT DISTINCT 'sha256:' || sha256(text) AS digest FROM documents WHERE text IS NOT NULL AND text NOT IN (SELECT text FROM benchmark WHERE text IS NOT NULL)""")
+def new_texts(t):
+    stored = t("benchmark").select(F.concat(F.lit("sha256:"), F.sha2("text", 256)).alias("digest"))
+    return records.new_blobs(t("documents").select("text"), stored, "text").select("digest")
+
+
+@registered("""
+SELECT field, state, count(*) AS n FROM (
+  SELECT unnest(['text', 'lang', 'source']) AS field, unnest([CASE WHEN text IS NULL THEN 'absent' WHEN text = '' THEN 'empty' ELSE 'stated' END, CASE WHEN lang IS NULL THEN 'absent' WHEN lang = '' THEN 'empty' ELSE 'stated' END, CASE WHEN source IS NULL THEN 'absent' WHEN source = '' THEN 'empty' ELSE 'stated' END]) AS state FROM documents)
+GROUP BY 1, 2""")
+def stated_fields(t):
+    return records.locators(t("documents"), "doc_id", ["text", "lang", "source"]).groupBy("field", "state").agg(F.count("*").alias("n"))
+
+
+@registered("""
+WITH o AS (SELECT o_custkey, o_orderkey, o_orderdate, ascii(o_orderstatus) AS rank FROM orders),
+n AS (SELECT *, lead(o_orderkey) OVER w AS next_name, lead(o_orderdate) OVER w AS d, lead(rank) OVER w AS r FROM o WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, rank, o_orderkey))
+SELECT o_custkey, o_orderkey, next_name, CASE WHEN o_orderdate = d AND rank = r THEN 'order_unknown' END AS refused FROM n WHERE next_name IS NOT NULL""")
+def order_pairs(t):
+    return records.printing_pairs(t("orders").withColumn("rank", F.ascii("o_orderstatus")), "o_custkey", "o_orderkey", "o_orderdate", "rank")
