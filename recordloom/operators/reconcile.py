@@ -20,13 +20,25 @@ def window_problems(windows: DataFrame, key: str, start: str, end: str) -> DataF
     return windows.withColumn("problem", problem).where("problem is not null")
 
 
-def halved_windows(days: DataFrame, day: str, cap: int, *, first: int, last: int) -> DataFrame:
+def halved_windows(days: DataFrame, day: str, cap: int, *, first: int | None = None, last: int | None = None) -> DataFrame:
     """Windows ``lo, hi, n, over`` of whole day numbers, halved while more than ``cap`` rows fall in one.
 
     The left half takes the middle day. A single day with more rows than the cap
     stays and is ``over``. The rows are counted by day once; the halving runs over
-    one row a day, which the calendar bounds.
+    one row a day, which the calendar bounds. Without ``first`` and ``last`` the
+    table's own first and last day bound the windows, and null days, if any, are a
+    row of null ``lo`` and ``hi``: each row is in one window. With both, only the
+    days between them are counted.
     """
+    if first is None and last is None:
+        first, last, n_rows, n_days = days.agg(F.min(day), F.max(day), F.count("*"), F.count(day)).first()
+        nulls = days.where(F.col(day).isNull()).agg(F.lit(None).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"), F.count("*").alias("n")).where("n > 0").withColumn("over", F.col("n") > cap)
+        if not n_days:
+            return nulls
+        bounded = halved_windows(days, day, cap, first=first, last=last)
+        return bounded.union(nulls) if n_rows > n_days else bounded
+    if first is None or last is None:
+        raise ValueError("give both first and last, or neither")
     counted = days.where(F.col(day).between(first, last)).groupBy(F.col(day).cast("long").alias("day")).agg(F.count("*").alias("n_day"))
     every = days.sparkSession.range(first, last + 1).select(F.col("id").alias("day"))
     at = every.join(counted, "day", "left").select("day", F.coalesce("n_day", F.lit(0)).alias("n_day"), F.lit(first).cast("long").alias("lo"), F.lit(last).cast("long").alias("hi"))

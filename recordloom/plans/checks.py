@@ -37,6 +37,21 @@ def halved_windows(t):
     return reconcile.halved_windows(days, "day", 100, first=8035, last=10591)
 
 
+@registered(f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT {_DAY} AS day, count(*) AS n FROM orders GROUP BY 1),
+w AS (
+  SELECT min(day) AS lo, max(day) AS hi, sum(n) AS n FROM d WHERE day IS NOT NULL
+  UNION ALL
+  SELECT s.lo, s.hi, (SELECT coalesce(sum(n), 0) FROM d WHERE day BETWEEN s.lo AND s.hi) FROM (
+    SELECT CASE WHEN side = 0 THEN lo ELSE lo + (hi - lo) // 2 + 1 END AS lo, CASE WHEN side = 0 THEN lo + (hi - lo) // 2 ELSE hi END AS hi
+    FROM w, (VALUES (0), (1)) AS v(side) WHERE n > 100 AND lo < hi) s)
+SELECT lo, hi, CAST(n AS BIGINT) AS n, n > 100 AS over FROM w WHERE lo IS NOT NULL AND NOT (n > 100 AND lo < hi)
+UNION ALL SELECT NULL, NULL, n, n > 100 FROM d WHERE day IS NULL""")
+def halved_windows_whole(t):
+    days = t("orders").select(F.unix_date(F.to_date("o_orderdate")).alias("day"))
+    return reconcile.halved_windows(days, "day", 100)
+
+
 @registered("""
 WITH o AS (SELECT c_custkey % 5 AS walk, c_custkey // 5 AS position, c_mktsegment AS a FROM customer)
 SELECT coalesce(x.walk, y.walk + 1) AS walk, CAST(sum(CASE WHEN x.a IS DISTINCT FROM y.a THEN 1 ELSE 0 END) AS BIGINT) AS n_differ

@@ -87,3 +87,17 @@ def test_identifiers(spark):
     assert of(lambda c: ids.byte_prefix(c, 4), "abcdef", "aé日", "日本", "\U0001f642x", "", None) == ["abcd", "aé", "日", "\U0001f642", "", None]
     assert of(lambda c: ids.comparison_jaccard(c, F.lit("a, B")), "A b.", "a", "") == [1.0, 0.5, 0.0]
     assert of(lambda c: ids.comparison_jaccard(c, F.lit("!")), "", "a") == [1.0, 0.0]
+
+
+def test_halved_windows_hold_every_row(spark):
+    rows = [(d,) for d in (5, 5, 5, 6, 40, 41, 99, 100, None, None)]
+    days = spark.createDataFrame(rows, "day int")
+    got = [tuple(r) for r in reconcile.halved_windows(days, "day", 2).collect()]
+    assert sum(n for _, _, n, _ in got) == len(rows)
+    assert (None, None, 2, False) in got and (5, 5, 3, True) in got
+    spans = sorted(w[:2] for w in got if w[0] is not None)
+    assert spans[0][0] == 5 and spans[-1][1] == 100 and all(a[1] + 1 == b[0] for a, b in zip(spans, spans[1:]))
+    assert all(n == sum(d is not None and lo <= d <= hi for (d,) in rows) and (n <= 2 or (over and lo == hi)) for lo, hi, n, over in got if lo is not None)
+    nothing = days.where("day is null")
+    assert [tuple(r) for r in reconcile.halved_windows(nothing, "day", 1).collect()] == [(None, None, 2, True)]
+    assert reconcile.halved_windows(days.limit(0), "day", 2).count() == 0
