@@ -22,7 +22,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -225,19 +225,39 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with one row for each component left: that of its smallest id.
+def text_key() -> Column:
+    """A text's key, the same for a null text and an empty one."""
+    return F.md5(F.coalesce("text", F.lit("")))
+
 
-    Of rows that repeat the kept id one stays, whichever. All columns stay as they
-    are. A component whose ids are all null keeps one row of each null id and text class.
+def one_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with exactly one left for each ``comp`` of ``found(doc_id, key, comp)``, all columns as they are.
+
+    That is a row of the component's smallest id; where all its ids are null, of its
+    smallest text key. ``key`` is the row's ``text_key``, and ``comp`` depends on the
+    text only, so that an id and a key name rows of a single component.
     """
-    found = materialize(near_duplicates(docs), "components")
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("__rows"))
-    kept = docs.join(keep.withColumnRenamed("doc_id", "__kept"), F.col("doc_id").eqNullSafe(F.col("__kept")))
+    rows = found.groupBy("comp", "doc_id", "key").agg(F.count("*").alias("n"))
+    first = F.min_by(F.struct("doc_id", "key", "n"), F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+    keep = materialize(rows.groupBy("comp").agg(first.alias("x")).select(F.col("x.doc_id").alias("__id"), F.col("x.key").alias("__key"), F.col("x.n").alias("__rows")), "kept")
+    kept = docs.withColumn("__text", text_key()).join(keep, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key")))
     if not keep.where("__rows > 1").limit(1).count():
         return kept.select(*docs.columns)
     once = kept.where("__rows = 1").select(*docs.columns)
-    return once.union(kept.where("__rows > 1 or doc_id is null").dropDuplicates(["doc_id"]).select(*docs.columns))
+    return once.union(kept.where("__rows > 1").dropDuplicates(["doc_id", "__text"]).select(*docs.columns))
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one row for each component left: one of its smallest id.
+
+    Of rows that repeat the kept id and text one stays, whichever. All columns stay
+    as they are. A component whose ids are all null keeps one row as well.
+    """
+    keyed = docs.select(F.struct("doc_id", text_key().alias("key")).alias("doc_id"), "text")
+    fps = materialize(fingerprints(keyed), "fingerprints")
+    nodes = materialize(fps.select("fp").distinct(), "nodes")
+    labels = connected_components(near_fingerprints(nodes)).withColumnRenamed("node", "fp")
+    return one_each(docs, fps.join(labels, "fp", "left").select("doc_id.doc_id", "doc_id.key", F.coalesce("comp", "fp").alias("comp")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

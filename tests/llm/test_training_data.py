@@ -174,6 +174,19 @@ def test_fingerprint_by_definition(spark, docs):
     assert len(ids) == len(set(ids)) and 2 in ids and 3 not in ids and 0 in ids and 1 not in ids
 
 
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(9)]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[2]), (4, texts[2]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (6, texts[5]), (6, texts[5]), (7, texts[5]), (8, texts[6]), (None, texts[7]), (None, None), (None, ""), (9, texts[8])]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(None, texts[0]), (None, texts[1]), (4, texts[2]), (5, texts[3]), (5, texts[4]), (6, texts[5]), (8, texts[6]), (None, texts[7]), (None, ""), (9, texts[8])]
+    for n in (len(rows), 5, 3):  # with and without repeated rows of the kept id
+        of = {t or "" for _, t in rows[:n]}
+        got = [(r.doc_id, r.text or "") for r in simhash_dedup.drop_near_duplicates(d.limit(n) if n < len(rows) else d).collect()]
+        assert len(got) == len(of)
+    assert sorted(map(str, [(r.doc_id, r.text or "") for r in simhash_dedup.drop_near_duplicates(d).collect()])) == sorted(map(str, want))
+
+
 def test_ordinal_learns_and_orders():
     rng = random.Random(4)
     make = lambda g: " ".join(rng.choices("la le lu mi mo".split(), k=30) + (["scum"] * 2 if g == 0 else []) + ([w + "!!" for w in "AB CD EF".split()] * 8 if g == 1 else []))
