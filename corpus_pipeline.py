@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import decontaminate, quality_classifier, secret_scan, simhash_dedup, source_mix
+from recordloom.llm import decontaminate, quality_classifier, secret_scan, shingle_join, source_mix
 from recordloom.llm.common import materialize, table
 
 
@@ -22,8 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5."""
-    return simhash_dedup.drop_near_duplicates(docs)
+    """Operator 5 by shingle sets: five words, linked from a Jaccard of 0.8 on."""
+    return shingle_join.drop_near_duplicates(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ STAGES = [
     ("mixing", mixing),
 ]
 
-#: Neither fitted classifiers nor fingerprint components are SQL; tests compare the stages with brute force.
+#: Neither fitted classifiers nor near-duplicate components are SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from recordloom.llm import chat_format, decontaminate, graph, language_id, license_scan, metric_topk, quality_classifier, secret_scan, simhash_dedup, source_mix, token_counts
+from recordloom.llm import chat_format, decontaminate, graph, language_id, license_scan, metric_topk, quality_classifier, secret_scan, shingle_join, simhash_dedup, source_mix, token_counts
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, fp long, comp long, __x string"
 
@@ -187,6 +187,49 @@ def test_one_row_of_each_component_stays(spark):
     assert sorted(map(str, [(r.doc_id, r.text or "") for r in simhash_dedup.drop_near_duplicates(d).collect()])) == sorted(map(str, want))
 
 
+@pytest.mark.parametrize(("large", "common"), [(8, 3), (2, 10**9), (10**9, 3)])
+def test_stage_links_every_pair_of_five_word_shingles(spark, monkeypatch, large, common):
+    monkeypatch.setattr(shingle_join, "LARGE", large)
+    monkeypatch.setattr(shingle_join, "COMMON", common)
+    monkeypatch.setattr(shingle_join, "SAMPLE", 2)
+    rng = random.Random(10)
+    word = lambda: f"w{rng.randrange(10**5)}"
+    passage, texts = [word() for _ in range(25)], ["", None, " ", "a b", "A  b", "a b c d e", "a b c d e f"]
+    for k in range(25):
+        base = [word() for _ in range(rng.choice((12, 60, 150)))] + (passage if k % 2 else [])
+        for _ in range(40 if k == 3 else rng.randint(1, 6)):
+            new = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 25))):
+                new[rng.randrange(len(new))] = word()
+            texts.append(" ".join(new[: len(new) - rng.randint(0, len(new) // 8)]))
+    sets = [frozenset(" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if (w := (t or "").lower().split()) else frozenset() for t in texts]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    near = 0
+    for i, s in enumerate(sets):
+        for j in range(i):
+            if 10 * len(s & sets[j]) >= 8 * len(s | sets[j]):
+                near += s != sets[j] and ((simhash_dedup.fingerprint(texts[i]) ^ simhash_dedup.fingerprint(texts[j])).bit_count() > 3)
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    assert near > 20  # pairs that fingerprints of three words miss
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, d, "").collect()) == sorted({find(i) for i in range(len(texts))})
+    groups = defaultdict(set)
+    for r in shingle_join.components(d).collect():
+        groups[r.comp].add(r.doc_id)
+    want = defaultdict(set)
+    for i in range(len(texts)):
+        want[find(i)].add(i)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+    assert shingle_join.drop_near_duplicates(d.limit(0)).count() == 0
+
+
 def test_ordinal_learns_and_orders():
     rng = random.Random(4)
     make = lambda g: " ".join(rng.choices("la le lu mi mo".split(), k=30) + (["scum"] * 2 if g == 0 else []) + ([w + "!!" for w in "AB CD EF".split()] * 8 if g == 1 else []))
