@@ -161,6 +161,13 @@ def contiguity_gaps(t):
     return quality.gaps(t("events").where("event_id % 13 not in (4, 5)"), "event_id")
 
 
+@registered("""
+WITH k AS (SELECT DISTINCT o_orderkey AS k FROM orders), n AS (SELECT k, lead(k) OVER (ORDER BY k) AS nx FROM k)
+SELECT k + 1 AS gap_start, nx - 1 AS gap_end FROM n WHERE nx > k + 1""")
+def order_key_gaps(t):
+    return quality.gaps(t("orders"), "o_orderkey")
+
+
 @registered("""
 WITH s AS (SELECT l_orderkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS lines FROM lineitem GROUP BY 1)
 SELECT o_orderkey, CASE WHEN lines IS NULL THEN 'not_compared' WHEN lines = CAST(o_totalprice AS DECIMAL(28,2)) THEN 'equal' ELSE 'differs' END AS outcome

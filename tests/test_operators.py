@@ -70,3 +70,12 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     for _ in range(2):
         ingest.append_once(ingest.read_new_files(spark, src, spark.range(1).schema), out, check, ["id"]).awaitTermination()
     assert spark.read.parquet(out).count() == 5
+
+
+def test_gaps_of_whole_order_keys(spark, tmp_path):
+    from recordloom.plans import catalog
+
+    keys = [k for k in range(1, 400) if k not in (17, 18, 56, 200, 201, 202)] + [3, 3, None]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    got = sorted(tuple(r) for r in catalog.queries()["order_key_gaps"](spark, str(tmp_path)).select("gap_start", "gap_end").collect())
+    assert got == [(17, 18), (56, 56), (200, 202)]
