@@ -126,6 +126,14 @@ def section_changes(t):
     return compare.section_changes(b.where("item_id % 5 <> 0").select("path", "text"), new.select("path", "text"), moved=1.0).groupBy("op").agg(F.count("*").alias("n"))
 
 
+@registered()
+def section_moves(t):
+    b = t("benchmark").where("text is not null").withColumn("path", F.concat(F.lit("s"), F.col("item_id").cast("string")))
+    path = F.when(F.col("item_id") % 4 == 0, F.concat(F.lit("m"), "path")).otherwise(F.col("path")).alias("path")
+    new = b.where("item_id % 6 <> 0").select(path, F.when(F.col("item_id") % 7 == 0, F.concat("text", F.lit(" new"))).otherwise(F.col("text")).alias("text"))
+    return compare.section_changes(b.where("item_id % 5 <> 0").select("path", "text"), new)
+
+
 @registered("""
 WITH a AS (SELECT p_brand AS area, unnest(list_distinct(regexp_extract_all(lower(p_type), '[a-z0-9]+'))) AS t FROM (SELECT p_brand, min(p_type) AS p_type FROM part GROUP BY 1)),
      s AS (SELECT p_partkey AS id, unnest(list_distinct(regexp_extract_all(lower(p_name || ' ' || p_type), '[a-z0-9]+'))) AS t FROM part),

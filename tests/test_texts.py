@@ -154,3 +154,27 @@ def test_bytes(spark):
     files = spark.createDataFrame([("a", b"x"), ("b", b"y")], "path string, content binary")
     wanted = files.where("path = 'a'").select("path", F.length("content").alias("size"), F.sha2("content", 256).alias("sha256")).union(spark.createDataFrame([("c", 1, "0")], "path string, size int, sha256 string"))
     assert {(r.path, r.outcome) for r in readers.verified(files, wanted).collect()} == {("a", "verified"), ("b", "unexpected"), ("c", "missing")}
+
+
+def test_section_moves_by_brute_force(spark):
+    import re
+
+    from recordloom.plans import catalog
+
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect() if r.text is not None]
+    old = {f"s{i}": t for i, t in rows if i % 5}
+    new = {("m" if i % 4 == 0 else "") + f"s{i}": t + (" new" if i % 7 == 0 else "") for i, t in rows if i % 6}
+    own = lambda t: set(re.findall("[a-z0-9]+", t.lower()))
+    gone, fresh = ({p: own(t) for p, t in x.items() if p not in y} for x, y in ((old, new), (new, old)))
+
+    def nearest(s, others):
+        scored = [(-len(s & o) / len(s | o), p) for p, o in others.items() if s | o and len(s & o) >= 0.7 * len(s | o)]
+        return min(scored)[1] if scored else None
+
+    moves = {(p, q) for p, s in gone.items() if (q := nearest(s, fresh)) and nearest(fresh[q], gone) == p}
+    want = {(p, p, "same" if old[p] == new[p] else "changed") for p in old.keys() & new.keys()} | {(p, q, "moved") for p, q in moves}
+    want |= {(p, None, "removed") for p in gone.keys() - {p for p, _ in moves}} | {(None, q, "added") for q in fresh.keys() - {q for _, q in moves}}
+    assert any(gone[p] != fresh[q] for p, q in moves)  # moved with a changed word
+    got = [tuple(r) for r in catalog.queries()["section_moves"](spark, sf).select("old_path", "new_path", "op").collect()]
+    assert len(got) == len(want) and set(got) == want
