@@ -19,10 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Where that is unset (tests on one machine) a temporary folder takes its place.
+    Where that is unset a temporary folder takes its place if driver and executors are
+    one process (``local`` masters, as in tests); on a cluster that is an error.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         where = tempfile.mkdtemp(prefix="recordloom-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where
@@ -31,8 +34,10 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` once to the shared folder and reads it back, which cuts its lineage.
 
-    The files survive lost executors. They lie under the application's id and go
-    with the checkpoint folder; ``discard`` removes them earlier.
+    The files survive lost executors. They lie under the application's id.
+    ``discard`` removes one result's; operators do so for what no result of theirs
+    reads. ``clean_up`` removes all that an application has left, once its results
+    are written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/recordloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
@@ -51,6 +56,23 @@ def discard(df: DataFrame) -> None:
         at.getFileSystem(conf).delete(at, True)
 
 
+def clean_up(spark: SparkSession) -> None:
+    """Deletes all files of ``materialize`` of this application. Results that aren't written yet can't be read after that."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/recordloom/{spark.sparkContext.applicationId}")
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def own_names(df: DataFrame, *names: str) -> list[str]:
+    """For each name a column name that ``df`` hasn't, however it writes its own."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def map_arrow(df: DataFrame, fn: Callable[..., list], schema: StructType) -> DataFrame:
     """``fn(*columns as lists) -> list of columns`` over each Arrow batch of ``df``."""
     arrow = to_arrow_schema(schema)
