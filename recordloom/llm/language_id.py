@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from recordloom.llm.common import map_arrow, table
+from recordloom.llm.common import discard, map_arrow, materialize, table
 
 #: Length of an n-gram in letters; a text's letters are lower-cased, all else is one blank.
 NGRAM = 4
@@ -24,6 +24,8 @@ NGRAM = 4
 SAMPLE = 3000
 #: Share of a language's sampled texts that must hold an n-gram for its filter to.
 COMMON = 0.01
+#: Most languages; their masks have as many bits.
+LANGUAGES = 4096
 #: Slots for each n-gram kept, and hashes.
 SLOTS, HASHES = 12, 3
 #: Code points of a text that are looked at together.
@@ -31,10 +33,11 @@ CHUNK = 1 << 20
 
 
 def ngrams(text: str) -> Iterator[np.ndarray]:
-    """Hashes (uint64) of all n-grams of a text, in chunks that overlap by one n-gram; none if it has no letter."""
+    """Hashes (uint64) of all n-grams of a text, chunk by chunk, as if it were one piece between two blanks; none if it has no letter."""
+    before = np.full(1, 32, np.uint64)
     for at in range(0, len(text), CHUNK):
-        part = text[max(0, at - NGRAM) : at + CHUNK].lower()
-        points = np.frombuffer(f" {part} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        part = text[at : at + CHUNK].lower() + (" " if at + CHUNK >= len(text) else "")
+        points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
         inner = points[points > 127]
         blank = (points < 128) & ((points < 97) | (points > 122))
         if len(inner):
@@ -42,7 +45,9 @@ def ngrams(text: str) -> Iterator[np.ndarray]:
             if odd:
                 blank |= np.isin(points, odd)
         points[blank] = 32
-        points = points[~(blank & np.append(False, blank[:-1]))]
+        points = points[~(blank & np.append(before[-1] == 32, blank[:-1]))]
+        points = np.append(before, points)
+        before = points[-(NGRAM - 1) :]
         if len(points) >= NGRAM:
             h = np.zeros(len(points) - NGRAM + 1, np.uint64)
             for i in range(NGRAM):
@@ -93,34 +98,41 @@ class Filters:
 def fit(docs: DataFrame, *, sample: int = SAMPLE, common: float = COMMON) -> Filters:
     """Filters from the rows of ``docs(doc_id, text, lang)`` whose ``lang`` and ``text`` are not null.
 
-    About ``sample`` rows of each language are read, chosen by a hash of the id. The
-    driver gets the n-grams that at least ``common`` of a language's sampled texts
-    hold: 1 / ``common`` times the distinct n-grams of an average text at most,
-    whatever the corpus. Languages are numbered by name.
+    About ``sample`` rows of each language are read, chosen by a hash of id and text;
+    equal texts of a language count once. The driver gets the n-grams that at least
+    ``common`` of a language's sampled texts hold: 1 / ``common`` times the distinct
+    n-grams of an average text at most, whatever the corpus. Languages are numbered by
+    name; more than ``LANGUAGES`` of them are refused, as such a column holds something else.
     """
     rows = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    sizes = {lang: n for lang, n in rows.groupBy("lang").count().collect()}
+    found = rows.groupBy("lang").agg(F.count("*").alias("rows"))
+    sizes = dict(found.limit(LANGUAGES + 1).collect())
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} different values in lang")
     if not sizes:
         return Filters(np.empty(0, np.uint64), np.empty(0, np.int64), [])
     names = sorted(sizes)
-    share = F.element_at(F.create_map(*(F.lit(x) for lang in names for x in (lang, sample / sizes[lang]))), F.col("lang"))
-    own = (F.xxhash64(F.lit(1), "doc_id") % 1_000_003 + 1_000_003) % 1_000_003 / F.lit(1_000_003.0)
-    picked = rows.where(own < share)
+    known = docs.sparkSession.createDataFrame(sorted(sizes.items()), "lang string, rows long")
+    own = (F.xxhash64(F.lit(1), "doc_id", "text") % 1_000_003 + 1_000_003) % 1_000_003 / F.lit(1_000_003.0)
+    picked = rows.join(F.broadcast(known), "lang").where(own < sample / F.col("rows")).select("lang", "text").dropDuplicates()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """In how many of a batch's texts each n-gram is; for n-gram null, how many texts there are."""
         for batch in batches:
             by: dict[str, list] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 got = [np.unique(g) for g in ngrams(text)]
-                by.setdefault(lang, []).append((np.unique(np.concatenate(got)) if got else np.empty(0, np.uint64), 1))
+                by.setdefault(lang, []).append(np.unique(np.concatenate(got)) if got else np.empty(0, np.uint64))
             for lang, lists in by.items():
-                grams, n = np.unique(np.concatenate([g for g, _ in lists]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(grams) + 1)), pa.array(np.append(grams.view(np.int64), 0)), pa.array(np.append(n, 0)), pa.array(np.append(np.zeros(len(grams), np.int64), len(lists)))], ["lang", "gram", "n", "texts"])
-
-    counts = picked.select("lang", "text").mapInArrow(counted, "lang string, gram long, n long, texts long")
-    read = {lang: n for lang, n in picked.groupBy("lang").count().collect()}
-    least = F.element_at(F.create_map(*(F.lit(x) for lang in names for x in (lang, max(2.0 if read.get(lang, 0) > 2 else 1.0, common * read.get(lang, 0))))), F.col("lang"))
-    kept = counts.where("n > 0").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("lang", "gram").toPandas()
+                grams, n = np.unique(np.concatenate(lists), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(grams) + 1)), pa.array([None, *grams.view(np.int64).tolist()], pa.int64()), pa.array(np.append(len(lists), n))], ["lang", "gram", "n"])
+
+    counts = materialize(picked.mapInArrow(counted, "lang string, gram long, n long"), "ngrams")
+    total = {lang: n for lang, n in counts.where("gram is null").groupBy("lang").agg(F.sum("n")).collect()}
+    least = docs.sparkSession.createDataFrame([(lang, max(2.0 if n > 2 else 1.0, common * n)) for lang, n in sorted(total.items())], "lang string, least double")
+    summed = counts.where("gram is not null").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    kept = summed.join(F.broadcast(least), "lang").where("n >= least").select("lang", "gram").toPandas()
+    discard(counts)
     place = {lang: i for i, lang in enumerate(names)}
     return Filters(kept["gram"].to_numpy(np.int64).view(np.uint64), kept["lang"].map(place).to_numpy(np.int64), names)
 
