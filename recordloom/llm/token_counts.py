@@ -59,11 +59,35 @@ class StepMemo(dict):
 
 
 class PrefixCounter:
-    """Token counts at every prefix, for the byte-level BPE in a tokenizers ``.json`` file."""
+    """Token counts at every prefix, for the byte-level BPE in a tokenizers ``.json`` file.
+
+    A file whose settings this counter doesn't follow is refused: any normalizer, a
+    pre-tokenizer other than plain byte-level splitting without a prefix blank, a model
+    other than BPE without dropout, affixes or ignored merges, an added token that
+    matches whole words or strips blanks, and a post-processor besides byte-level
+    offsets (templates add tokens only with the special ones, which aren't counted).
+    """
+
+    @staticmethod
+    def check(spec: dict) -> None:
+        model, split = spec["model"], spec.get("pre_tokenizer") or {}
+        odd = [k for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges") if model.get(k)]
+        odd += [f"added token {t['content']}" for t in spec.get("added_tokens", ()) if t.get("single_word") or t.get("lstrip") or t.get("rstrip")]
+        if model.get("type", "BPE") != "BPE":
+            odd.append(f"model {model['type']}")
+        if spec.get("normalizer"):
+            odd.append("normalizer")
+        if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+            odd.append("pre_tokenizer")
+        if (spec.get("post_processor") or {}).get("type") not in (None, "ByteLevel", "TemplateProcessing"):
+            odd.append("post_processor")
+        if odd:
+            raise ValueError(f"settings that counts would not follow: {', '.join(odd)}")
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.check(spec)
         letters = byte_letters()
         raw = lambda token: bytes(letters[c] for c in token)
         self.specials = specials = [t["content"] for t in spec["added_tokens"]]
