@@ -16,7 +16,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, IntegerType, StructField, StructType
 
 from recordloom.llm.common import Memo, filter_rows, map_arrow, table
 
@@ -75,6 +75,27 @@ class Ordinal:
         return float(tails.sum()), float(tails[-1])
 
 
+def loss(params: np.ndarray, at: np.ndarray, values: np.ndarray, row: np.ndarray, grades: np.ndarray, n_live: int, n_grades: int, ridge: float) -> tuple[float, np.ndarray]:
+    """Mean negative log-likelihood with the ridge, and its gradient.
+
+    ``params`` are the weights of the live features, the first threshold and the logs
+    of the gaps to the next ones; ``at, values, row`` are the features' triples.
+    """
+    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+    w, gaps = params[:n_live], np.exp(params[n_live + 1 :])
+    cuts = params[n_live] + np.append(0, np.cumsum(gaps))
+    score = np.bincount(row, values * w[at], len(grades))
+    upper = np.append(cuts, np.inf)[grades]  # P(grade) = s(upper - score) - s(lower - score)
+    lower = np.append(-np.inf, cuts)[grades]
+    su, sl = sigmoid(upper - score), sigmoid(lower - score)
+    p = np.maximum(su - sl, 1e-12)
+    du, dl = su * (1 - su) / p / len(grades), sl * (1 - sl) / p / len(grades)
+    by_cut = np.bincount(np.minimum(grades, n_grades - 2), -du * (grades < n_grades - 1), n_grades - 1) + np.bincount(np.maximum(grades - 1, 0), dl * (grades > 0), n_grades - 1)
+    by_param = np.cumsum(by_cut[::-1])[::-1]
+    grad = np.concatenate([np.bincount(at, values * (du - dl)[row], n_live) + ridge * w, by_param[:1], by_param[1:] * gaps])
+    return float(-np.log(p).mean() + ridge / 2 * (w @ w)), grad
+
+
 def train(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int = GRADES, *, steps: int = STEPS, rate: float = RATE, ridge: float = RIDGE, common: int = COMMON, telling: float = TELLING) -> Ordinal:
     """Fits by full-batch Adam on the cumulative-link likelihood over the features that tell grades apart."""
     weights, thresholds = np.zeros(FEATURES), np.linspace(-1.0, 1.0, n_grades - 1)
@@ -96,24 +117,12 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grade
     keep = often[at]
     live = np.flatnonzero(often)
     at, values, row = np.searchsorted(live, at[keep]), values[keep], row[keep]
-    weight = 1 / len(grades)
     w, gaps = np.zeros(len(live)), np.log(np.diff(thresholds, prepend=thresholds[0] - 1))  # thresholds as a start and positive gaps
     start = thresholds[0]
     params = np.concatenate([w, [start], gaps[1:]])
     m, v = np.zeros_like(params), np.zeros_like(params)
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -500, 500)))
     for step in range(1, steps + 1):
-        w, cuts = params[: len(live)], params[len(live)] + np.append(0, np.cumsum(np.exp(params[len(live) + 1 :])))
-        score = np.bincount(row, values * w[at], len(rows))
-        upper = np.append(cuts, np.inf)[grades]  # P(grade) = s(upper - score) - s(lower - score)
-        lower = np.append(-np.inf, cuts)[grades]
-        su, sl = sigmoid(upper - score), sigmoid(lower - score)
-        p = np.maximum(su - sl, 1e-12)
-        du, dl = weight * su * (1 - su) / p, weight * sl * (1 - sl) / p
-        by_score = du - dl
-        by_cut = np.bincount(np.minimum(grades, n_grades - 2), -du * (grades < n_grades - 1), n_grades - 1) + np.bincount(np.maximum(grades - 1, 0), dl * (grades > 0), n_grades - 1)
-        by_param = np.cumsum(by_cut[::-1])[::-1]
-        grad = np.concatenate([np.bincount(at, values * by_score[row], len(live)) + ridge * w, by_param[:1], by_param[1:] * np.exp(params[len(live) + 1 :])])
+        _, grad = loss(params, at, values, row, grades, len(live), n_grades, ridge)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         params -= rate * (1 - 0.9 * step / steps) * m / (1 - 0.9**step) / (np.sqrt(v / (1 - 0.999**step)) + 1e-10)
     weights[live] = params[: len(live)]
@@ -124,9 +133,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Ordinal:
     """The model of texts in ``docs`` whose ``labels(doc_id, quality, toxic)`` are known.
 
     Grades: 0 toxic, 1 not toxic and of poor quality, 2 neither. Rows with a null id,
-    text or label are left out; of several labels of an id the worst counts. About
-    ``sample`` texts of each grade, by a hash of the id, are fitted on; their
-    features, not their texts, come to the driver.
+    text or label are left out; of several labels of an id the worst counts, and of
+    several texts one. About ``sample`` ids of each grade, by a hash of the id, are
+    fitted on; their features, not their texts, come to the driver.
     """
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
     known = labels.where("doc_id is not null and quality is not null and toxic is not null").groupBy("doc_id").agg(F.min(grade).alias("grade"))
@@ -136,15 +145,17 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Ordinal:
         return train([], np.empty(0, np.int64))
     share = F.element_at(F.create_map(*(F.lit(x) for g in range(GRADES) for x in (g, sample / sizes.get(g, 1)))), F.col("grade"))
     own = (F.xxhash64(F.lit(2), "doc_id") % 1_000_003 + 1_000_003) % 1_000_003 / F.lit(1_000_003.0)
-    # About ``sample`` rows of each of three grades, whatever the input: small enough to broadcast, so no text is shuffled.
+    # About ``sample`` ids of each of three grades, whatever the input: small enough to broadcast, so no text is shuffled.
     picked = rows.join(F.broadcast(known.where(own < share)), "doc_id").select("doc_id", "grade", "text")
-    schema = StructType([StructField("doc_id", LongType()), StructField("grade", IntegerType()), StructField("at", ArrayType(IntegerType())), StructField("v", ArrayType(FloatType()))])
+    schema = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), StructField("grade", IntegerType()), StructField("at", ArrayType(IntegerType())), StructField("v", ArrayType(FloatType()))])
 
     def run(ids: list, grades: list, texts: list) -> list:
         got = [features(t) for t in texts]
         return [ids, grades, [a for a, _ in got], [v for _, v in got]]
 
-    seen = sorted(map_arrow(picked, run, schema).collect(), key=lambda r: (r.doc_id, r.grade, len(r.at)))
+    # One text of an id, the one of smallest features, so that a repeated id brings one row to the driver.
+    one = map_arrow(picked, run, schema).groupBy("doc_id", "grade").agg(F.min(F.struct("at", "v")).alias("x"))
+    seen = sorted(one.select("doc_id", "grade", "x.at", "x.v").collect(), key=lambda r: (r.doc_id, r.grade))
     return train([(np.asarray(r.at, np.int64), np.asarray(r.v)) for r in seen], np.asarray([r.grade for r in seen], np.int64))
 
 
