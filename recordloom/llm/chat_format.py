@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from recordloom.llm.common import map_arrow, materialize, table
+from recordloom.llm.common import discard, map_arrow, materialize, table
 
 # The control strings of the template.
 BEGIN, END, OPEN, CLOSE = "<s>", "</s>", "[INST]", "[/INST]"
@@ -75,12 +75,34 @@ def chain(rows: DataFrame) -> DataFrame:
 def paths(nodes: DataFrame, *, branches: int = 1) -> DataFrame:
     """The best root-to-leaf paths of each tree: ``tree, leaf, rank, node, depth`` for each message on them.
 
-    ``nodes(tree, node, parent, score)``: ids are unique in a tree and not null;
-    ``tree`` may be null and is then one tree; a message whose parent is null or not
-    there is a root. Null scores count as 0. Paths are ranked by mean score, longer
-    ones first among equals, then by leaf. Circles have no root and so no path.
+    ``nodes(tree, node, parent, score)``: a message given several times is one message,
+    as ``single`` has it; ``tree`` may be null and is then one tree; a message without
+    a node is none; a message whose parent is null or not there is a root. Null scores
+    count as 0. Paths are ranked by mean score, longer ones first among equals, then
+    by leaf. Messages on a circle, or behind one, have no root and so no path;
+    ``rootless`` reports them.
     """
-    own = materialize(nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")), "nodes")
+    jumps, on_path = _paths(nodes.select("tree", "node", "parent", "score"), branches)
+    for used in jumps:
+        discard(used)
+    return on_path
+
+
+def single(nodes: DataFrame) -> DataFrame:
+    """One row for each tree and node that isn't null: of several the one of the smallest other columns, in their order."""
+    rest = [c for c in nodes.columns if c not in ("tree", "node")]
+    one = nodes.where("node is not null").groupBy("tree", "node").agg(F.min(F.struct(*rest)).alias("x"))
+    return one.select("tree", "node", *(F.col("x")[c].alias(c) for c in rest)).select(*nodes.columns)
+
+
+def rootless(nodes: DataFrame) -> DataFrame:
+    """The messages ``(tree, node)`` from which no root is reached: those on a circle of replies, or answering one."""
+    jumps, _ = _paths(nodes.select("tree", "node", "parent", "score"), 0)
+    return jumps[-1].where("to is not null").select("tree", "node")
+
+
+def _paths(nodes: DataFrame, branches: int) -> tuple[list[DataFrame], DataFrame]:
+    own = materialize(single(nodes).withColumn("score", F.coalesce("score", F.lit(0.0))), "nodes")
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     up = own.select(F.col("tree").alias("t2"), F.col("node").alias("n2"))
     there = own.join(up, same("tree", "t2") & (F.col("parent") == F.col("n2")), "left").select("tree", "node", F.col("n2").alias("to"), F.lit(1).cast("long").alias("steps"), "score")
@@ -105,19 +127,23 @@ def paths(nodes: DataFrame, *, branches: int = 1) -> DataFrame:
         on = jumps[i].where("to is not null").select(F.col("tree").alias("t2"), F.col("node").alias("n2"), "to")
         stride = F.lit(1 << i)
         further = on_path.join(on, same("tree", "t2") & (F.col("node") == F.col("n2"))).select("tree", "leaf", "rank", "steps", F.col("to").alias("node"), (F.col("depth") - stride).alias("depth"))
-        on_path = materialize(on_path.union(further), "paths")
-    return on_path.select("tree", "leaf", "rank", "node", "depth")
+        before, on_path = on_path, materialize(on_path.union(further), "paths")
+        discard(before)
+    discard(own)
+    return jumps, on_path.select("tree", "leaf", "rank", "node", "depth")
 
 
-def conversations(nodes: DataFrame, *, branches: int = 1) -> DataFrame:
+def conversations(nodes: DataFrame, *, branches: int = 1, unique: bool = False) -> DataFrame:
     """The chosen paths of reply trees, formatted: ``conv_id, leaf, rank, formatted, mask``.
 
-    ``nodes(tree, node, parent, role, text, score)`` as in ``paths``; null roles and
-    texts count as empty. ``mask`` holds start and end of each assistant text in
+    ``nodes(tree, node, parent, role, text, score)`` as in ``paths``, other columns aside;
+    null roles and texts count as empty. ``unique`` says that no message is given twice,
+    which saves looking for such. ``mask`` holds start and end of each assistant text in
     ``formatted``, in code points. A conversation is one string and so is put
     together in one task; only its own messages are there. No nodes, no rows.
     """
-    own = materialize(nodes, "messages")
+    own = nodes.select("tree", "node", "parent", "role", "text", "score")
+    own = materialize(own if unique else single(own), "messages")
     p = paths(own, branches=branches).withColumnRenamed("tree", "t2").withColumnRenamed("node", "n2")
     rows = own.join(p, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("node") == F.col("n2")))
     turns = rows.groupBy("tree", "leaf", "rank").agg(F.sort_array(F.collect_list(F.struct("depth", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")))).alias("turns"))
@@ -147,4 +173,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    return digests(conversations(chain(rows.unionByName(more))))
+    return digests(conversations(chain(rows.unionByName(more)), unique=True))
