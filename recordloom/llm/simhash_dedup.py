@@ -12,6 +12,13 @@ Of very many fingerprints (``LONG_FROM``), anchors are pairs of Golay words on t
 low 46 bits, 2^24 of them. The bits by which a pair's two parts exceed distance 3
 add up to at most 3 for every replica that can matter, about 300 of them; each
 anchor then meets a 56,000th of the pairs instead of a 58th. Both find the same links.
+
+Fingerprints may crowd at an anchor. One with more than ``BLOCK`` replicas is split
+by the bits that it doesn't look at: of four parts of the 41 bits above the first
+word, two fingerprints that differ in 3 bits agree in one. Homes and replicas of
+such an anchor go to four groups each, by the value of each part, and inside a group
+the same parts are an index. So neither side of a crowded anchor is ever whole in
+one task.
 """
 
 from __future__ import annotations
@@ -26,18 +33,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from recordloom.llm.common import map_arrow, materialize, table
+from recordloom.llm.common import map_arrow, materialize, own_names, table
 from recordloom.llm.graph import connected_components
 
 SHINGLE_WORDS, SEED, RADIUS, THRESHOLD, LENGTH = 3, 42, 3, 3, 23
 #: Generator polynomial of the binary Golay code, of degree 11.
 GENERATOR = 0b101011100011
-#: Replicas compared in one group; an anchor with more is split into blocks.
-BLOCK = 1 << 17
-#: Distinct fingerprints from which anchors are pairs of words, and fingerprints replicated at once with one word or two.
-LONG_FROM, AT_ONCE = 1 << 27, (1 << 14, 1 << 12)
-#: Anchors whose counts are added up, as bits, with one word or two; the driver gets 2^12 or 2^18 counts.
+#: Replicas compared in one group; an anchor with more is split.
+BLOCK = 1 << 20
+#: Distinct fingerprints from which anchors are pairs of words (with one word, uniform anchors hold ``BLOCK`` replicas there), and fingerprints replicated at once with one word or two.
+LONG_FROM, AT_ONCE = 1 << 26, (1 << 14, 1 << 12)
+#: Anchors whose counts are added up first, as bits, with one word or two; the driver gets 2^12 or 2^18 counts.
 CELL = (0, 6)
+#: The parts of a fingerprint by which crowded anchors are split: first bit and bits.
+PARTS = ((23, 10), (33, 10), (43, 10), (53, 11))
+#: Comparisons of one group up to which no index is used.
+PLAIN = 1 << 22
+#: Comparisons made together.
+AT_A_TIME = 1 << 18
 
 
 def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -50,7 +63,11 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     else:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle_words)), strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, SEED) for s in shingles), np.uint64)
+    return simhash(np.fromiter((digest(s, SEED) for s in shingles), np.uint64))
+
+
+def simhash(hashes: np.ndarray) -> int:
+    """64 bits, each set if it is in over half the hashes."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 14):
         part = hashes[at : at + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -116,6 +133,11 @@ def replicas(prints: np.ndarray, codes: int = 1) -> tuple[np.ndarray, np.ndarray
     return home, np.concatenate(to), np.concatenate(of)
 
 
+def part(prints: np.ndarray, i: int) -> np.ndarray:
+    at, bits = PARTS[i]
+    return (prints >> np.uint64(at) & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
 def forest(homes: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links between ``homes`` and ``prints`` (distinct uint64), as two arrays.
 
@@ -123,6 +145,8 @@ def forest(homes: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """
     nodes = np.union1d(homes, prints)
     comp = np.arange(len(nodes))
+    if len(homes) * len(nodes) <= AT_A_TIME:
+        homes = homes[np.count_nonzero(np.bitwise_count(homes[:, None] ^ nodes) <= THRESHOLD, axis=1) > 1]
     for h in homes:
         near = np.bitwise_count(nodes ^ h) <= THRESHOLD
         if np.count_nonzero(near) > 1:
@@ -135,6 +159,28 @@ def forest(homes: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return nodes[below], nodes[comp[below]]
 
 
+def indexed_forest(homes: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that span the same components as those of ``forest``, four times as many at most.
+
+    Each home is compared with the prints that agree with it in one of the ``PARTS``.
+    """
+    if len(homes) * len(prints) <= PLAIN:
+        return forest(homes, prints)
+    a, b = [], []
+    for i in range(len(PARTS)):
+        sides = []
+        for side in (homes, prints):
+            value = part(side, i)
+            order = np.argsort(value, kind="stable")
+            sides.append((side[order], np.searchsorted(value[order], np.arange((1 << PARTS[i][1]) + 1))))
+        (h, h_at), (p, p_at) = sides
+        for v in np.flatnonzero((np.diff(h_at) > 0) & (np.diff(p_at) > 0)).tolist():
+            x, y = forest(h[h_at[v] : h_at[v + 1]], p[p_at[v] : p_at[v + 1]])
+            a.append(x)
+            b.append(y)
+    return np.concatenate(a or [homes[:0]]), np.concatenate(b or [homes[:0]])
+
+
 def _prints(batches: Iterator[pa.RecordBatch], codes: int) -> Iterator[np.ndarray]:
     for batch in batches:
         prints = np.asarray(batch.column(0)).view(np.uint64)
@@ -142,38 +188,50 @@ def _prints(batches: Iterator[pa.RecordBatch], codes: int) -> Iterator[np.ndarra
             yield prints[at : at + AT_ONCE[codes - 1]]
 
 
-def _counts(codes: int):
-    cells = 1 << 12 * codes - CELL[codes - 1]
+def _counts(codes: int, cells: np.ndarray | None = None):
+    """Counts of replicas by cell, or by anchor within some ``cells``."""
+    bits = CELL[codes - 1]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(cells, np.int64)
+    def by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(1 << 12 * codes - bits, np.int64)
         for prints in _prints(batches, codes):
-            n += np.bincount(replicas(prints, codes)[1] >> CELL[codes - 1], minlength=cells)
+            n += np.bincount(replicas(prints, codes)[1] >> bits, minlength=len(n))
         used = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n[used])], ["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n[used])], ["at", "n"])
 
-    return run
+    def by_anchor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for prints in _prints(batches, codes):
+            to = replicas(prints, codes)[1]
+            used, n = np.unique(to[np.isin(to >> bits, cells)], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n)], ["at", "n"])
 
+    return by_cell if cells is None else by_anchor
 
-def _dealt(blocks: np.ndarray, codes: int):
-    """Packs the replicas of each batch by (anchor, block), so that few long rows are shuffled."""
+
+def _dealt(crowded: np.ndarray, codes: int):
+    """Packs the homes and replicas of each batch by (anchor, group), so that few long rows are shuffled.
+
+    Group 0 is the whole anchor; a ``crowded`` one (sorted) has a group for each value of each of the ``PARTS``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for prints in _prints(batches, codes):
             home, to, of = replicas(prints, codes)
-            spread = (prints * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
-            key = to << 32 | spread[of] % blocks[to >> CELL[codes - 1]]
-            own = blocks[home >> CELL[codes - 1]]
-            home_of = np.repeat(np.arange(len(home)), own)
-            home_key = home[home_of] << 32 | (np.arange(len(home_of)) - np.repeat(np.cumsum(own) - own, own))
-            for kind, keys, what in ((0, key, of), (1, home_key, home_of)):
+            for kind, anchor, what in ((0, to, of), (1, home, np.arange(len(home)))):
+                split = np.isin(anchor, crowded)
+                keys, whats = [anchor[~split] << 16], [what[~split]]
+                if split.any():
+                    for i in range(len(PARTS)):
+                        keys.append(anchor[split] << 16 | (i << 11 | part(prints[what[split]], i)) + 1)
+                        whats.append(what[split])
+                keys, whats = np.concatenate(keys), np.concatenate(whats)
                 order = np.argsort(keys, kind="stable")
-                keys, data = keys[order], prints[what[order]].astype("<u8")
+                keys, data = keys[order], prints[whats[order]].astype("<u8")
                 starts = np.flatnonzero(np.diff(keys, prepend=-1))
                 ends = np.append(starts, len(keys)).astype(np.int32) * 8
                 packed = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
                 keys = keys[starts]
-                yield pa.RecordBatch.from_arrays([pa.array((keys >> 32).astype(np.int32)), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(np.full(len(keys), kind, np.int8)), packed], ["anchor", "block", "home", "prints"])
+                yield pa.RecordBatch.from_arrays([pa.array((keys >> 16).astype(np.int32)), pa.array((keys & 0xFFFF).astype(np.int32)), pa.array(np.full(len(keys), kind, np.int8)), packed], ["anchor", "block", "home", "prints"])
 
     return run
 
@@ -182,7 +240,7 @@ def _compared(group: pa.Table) -> pa.Table:
     is_home = np.asarray(group.column("home")) == 1
     chunks = group.column("prints").to_pylist()
     homes, prints = (np.frombuffer(b"".join(c for c, h in zip(chunks, is_home, strict=True) if h == side), "<u8").astype(np.uint64) for side in (True, False))
-    a, b = forest(homes, prints) if len(homes) else (homes, homes)
+    a, b = indexed_forest(homes, prints) if len(homes) else (homes, homes)
     return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
 
@@ -190,13 +248,16 @@ def near_fingerprints(prints: DataFrame, codes: int | None = None) -> DataFrame:
     """Links ``(a, b)`` that span the components of the distinct fingerprints ``fp`` (long) at 3 bits or fewer.
 
     ``codes`` is 1 or 2 words an anchor, by default 2 from ``LONG_FROM`` fingerprints on; the links
-    are the same. The driver gets 2^12 or 2^18 counts, one for each cell of anchors, whatever the input's size.
+    are the same. The driver gets 2^12 or 2^18 counts, one for each cell of anchors, and then the
+    anchors with more than ``BLOCK`` replicas, 302 for each ``BLOCK`` fingerprints at most.
     """
     codes = codes or (2 if prints.count() >= LONG_FROM else 1)
-    blocks = np.ones(1 << 12 * codes - CELL[codes - 1], np.int64)
-    for cell, n in prints.mapInArrow(_counts(codes), "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():
-        blocks[cell] = max(1, -(-n // (BLOCK << CELL[codes - 1])))
-    dealt = prints.mapInArrow(_dealt(blocks, codes), "anchor int, block int, home byte, prints binary")
+    counts = prints.mapInArrow(_counts(codes), "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    full = np.asarray(sorted(r.at for r in counts.where(F.col("n") > BLOCK).collect()), np.int64)
+    if CELL[codes - 1] and len(full):
+        counts = prints.mapInArrow(_counts(codes, full), "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+        full = np.asarray(sorted(r.at for r in counts.where(F.col("n") > BLOCK).collect()), np.int64)
+    dealt = prints.mapInArrow(_dealt(full, codes), "anchor int, block int, home byte, prints binary")
     return dealt.groupBy("anchor", "block").applyInArrow(_compared, "a long, b long")
 
 
@@ -237,14 +298,15 @@ def one_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     smallest text key. ``key`` is the row's ``text_key``, and ``comp`` depends on the
     text only, so that an id and a key name rows of a single component.
     """
+    of_id, of_key, of_rows, text = own_names(docs, "kept_id", "kept_key", "kept_rows", "kept_text")
     rows = found.groupBy("comp", "doc_id", "key").agg(F.count("*").alias("n"))
     first = F.min_by(F.struct("doc_id", "key", "n"), F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
-    keep = materialize(rows.groupBy("comp").agg(first.alias("x")).select(F.col("x.doc_id").alias("__id"), F.col("x.key").alias("__key"), F.col("x.n").alias("__rows")), "kept")
-    kept = docs.withColumn("__text", text_key()).join(keep, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key")))
-    if not keep.where("__rows > 1").limit(1).count():
+    keep = materialize(rows.groupBy("comp").agg(first.alias("x")).select(F.col("x.doc_id").alias(of_id), F.col("x.key").alias(of_key), F.col("x.n").alias(of_rows)), "kept")
+    kept = docs.withColumn(text, text_key()).join(keep, F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.col(text) == F.col(of_key)))
+    if not keep.where(F.col(of_rows) > 1).limit(1).count():
         return kept.select(*docs.columns)
-    once = kept.where("__rows = 1").select(*docs.columns)
-    return once.union(kept.where("__rows > 1").dropDuplicates(["doc_id", "__text"]).select(*docs.columns))
+    once = kept.where(F.col(of_rows) == 1).select(*docs.columns)
+    return once.union(kept.where(F.col(of_rows) > 1).dropDuplicates(["doc_id", text]).select(*docs.columns))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
