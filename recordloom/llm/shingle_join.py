@@ -1,5 +1,10 @@
 """Near-duplicates by the Jaccard similarity of word shingle sets, exact (the pipeline's stage).
 
+First the fingerprints of operator 5, of five-word shingles, are linked by anchor-point
+covering; of the links, those hold whose sets reach the wanted similarity. At 0.8 two
+sets differ in some ten bits of 64, so fingerprints alone miss links; what follows
+finds the rest of them.
+
 Two sets of Jaccard ``least`` or more share an element among the first
 ``n - ceil(least * n) + 1`` of each, in whatever one order all sets are sorted by
 (prefix filtering). Sets that meet on so many of these that ``least`` can still be
@@ -7,10 +12,12 @@ reached are compared, on their whole sets, so no link is missed and none is gues
 a sample of the texts come last in the order; the sample changes what is compared,
 never what is found.
 
-Sets that are already in one component needn't be compared. So the larger groups
-of an element first meet one representative each, in two rounds, which joins most
-of a large group of near copies without comparing all its pairs; all pairs that are
-still in different components are compared after that.
+Sets that are already in one component needn't be compared. So with the fingerprints
+each set of a larger group is compared with the group's hub, the set whose prefix is
+shared most, which is the original where a group is copies of one. All pairs that are
+still in different components meet after that, in blocks of bounded size; of a large
+group only pairs whose bitmaps leave ``least`` possible are compared at all: where two
+bitmaps differ, the sets do.
 """
 
 from __future__ import annotations
@@ -21,19 +28,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from recordloom.llm.common import discard, map_arrow, materialize
 from recordloom.llm.graph import connected_components
-from recordloom.llm.simhash_dedup import SEED, one_each, text_key
+from recordloom.llm.simhash_dedup import SEED, near_fingerprints, one_each, simhash, text_key
 
 SHINGLE_WORDS, LEAST = 5, 0.8
 #: One text in so many is sampled for common shingles, how many of those must hold one, and the most shingles that the driver gets.
 SAMPLE, COMMON, MOST = 8, 3, 1 << 17
-#: Members from which a group meets representatives first, and the rounds of that.
-LARGE, ROUNDS = 8, 2
+#: Members from which a group meets its hub first; bits of a set's bitmap, and members of a large group that meet others in one task.
+LARGE, BITS, MEET = 8, 2048, 1024
 
 
 def shingle_set(text: str | None, width: int = SHINGLE_WORDS) -> np.ndarray:
@@ -62,7 +69,7 @@ def _common(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _rows(docs: DataFrame, width: int, least: float) -> DataFrame:
-    """``doc_id, key, node, size, prefix`` for each row; rows of one shingle set have one ``node``."""
+    """``doc_id, key, node, fp, size, prefix, bits`` for each row; rows of one shingle set have one ``node``."""
     common, often = _common(docs, width)
 
     def prefix(s: np.ndarray) -> np.ndarray:
@@ -71,12 +78,18 @@ def _rows(docs: DataFrame, width: int, least: float) -> DataFrame:
             s = s[np.argsort(np.where(common[at] == s, often[at], 0), kind="stable")]
         return s[: len(s) - wanted(least, len(s)) + 1] if len(s) else s
 
+    def bitmap(s: np.ndarray) -> np.ndarray:
+        on = np.zeros(BITS, bool)
+        on[(s & np.uint64(BITS - 1)).astype(np.int64)] = True
+        return np.packbits(on, bitorder="little").view("<i8")
+
     def run(ids: list, keys: list, texts: list) -> list:
         sets = [shingle_set(t, width) for t in texts]
         nodes = np.fromiter((xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets), np.uint64, len(sets)).view(np.int64)
-        return [ids, keys, nodes, [len(s) for s in sets], [prefix(s).view(np.int64) for s in sets]]
+        prints = np.fromiter((simhash(s) if len(s) else 0 for s in sets), np.uint64, len(sets)).view(np.int64)
+        return [ids, keys, nodes, prints, [len(s) for s in sets], [prefix(s).view(np.int64) for s in sets], [bitmap(s) for s in sets]]
 
-    schema = StructType([docs.schema["doc_id"], StructField("key", StringType()), StructField("node", LongType()), StructField("size", IntegerType()), StructField("prefix", ArrayType(LongType()))])
+    schema = StructType([docs.schema["doc_id"], StructField("key", StringType()), StructField("node", LongType()), StructField("fp", LongType()), StructField("size", IntegerType()), StructField("prefix", ArrayType(LongType())), StructField("bits", ArrayType(LongType()))])
     return map_arrow(docs.select("doc_id", text_key().alias("key"), "text"), run, schema)
 
 
@@ -112,18 +125,13 @@ def components(docs: DataFrame, width: int = SHINGLE_WORDS, least: float = LEAST
     heads = nodes.select("node", "size", F.explode("prefix").alias("tok"))
     shared = heads.groupBy("tok").agg(F.count("*").alias("n")).where("n > 1")
     members = materialize(heads.join(shared, "tok").select("tok", "node", "size", "n"), "members")
-    large = members.where(F.col("n") >= LARGE).select("tok", "node", "size")
-
-    def alive(labels: DataFrame | None, seed: int) -> DataFrame:
-        """Members of large groups that lie in several components, with ``comp`` and the group's representative."""
-        m = large.withColumn("comp", F.col("node")) if labels is None else large.join(labels, "node", "left").select("tok", "node", "size", F.coalesce("comp", "node").alias("comp"))
-        group = m.groupBy("tok").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min(F.struct(F.xxhash64("node", F.lit(seed)).alias("r"), "node", "size", "comp")).alias("rep"))
-        return m.join(group.where("c0 <> c1").select("tok", "rep"), "tok")
+    large = members.where(F.col("n") >= LARGE)
+    can = lambda m, n: F.least(m, n) >= F.greatest(m, n) * (least - 1e-9)  # noqa: E731  whether sizes leave ``least`` possible
 
-    def enough(shared: str, m: str, n: str):
+    def enough(shared: str, m: str, n: str) -> Column:
         # of what two sets share, all but ``shared`` lies behind the prefix of one of them
         behind = F.ceil(F.greatest(m, n) * least - 1e-9) - 1
-        return (F.least(m, n) >= F.greatest(m, n) * (least - 1e-9)) & ((F.col(shared) + behind) * (1 + least) >= (F.col(m) + F.col(n)) * least - 1e-6)
+        return can(m, n) & ((F.col(shared) + behind) * (1 + least) >= (F.col(m) + F.col(n)) * least - 1e-6)
 
     def links(pairs: DataFrame) -> DataFrame:
         """Those of the pairs ``(a, b)`` of nodes that are similar, on whole sets made anew from one text of each node."""
@@ -138,32 +146,48 @@ def components(docs: DataFrame, width: int = SHINGLE_WORDS, least: float = LEAST
         discard(pairs)
         return out
 
-    edges, labels = [], None
-
-    def joined() -> DataFrame:
-        every = edges[0]
-        for more in edges[1:]:
-            every = every.union(more)
-        return connected_components(every)
-
-    for seed in range(ROUNDS):
-        met = alive(labels, seed).where(F.col("comp") != F.col("rep.comp")).groupBy("node", "size", F.col("rep.node").alias("b"), F.col("rep.size").alias("size_b")).agg(F.count("*").alias("n"))
-        best = met.where(enough("n", "size", "size_b")).groupBy("node").agg(F.max(F.struct("n", "b")).alias("x"))
-        edges.append(links(best.select(F.col("node").alias("a"), F.col("x.b").alias("b"))))
-        if not edges[-1].limit(1).count():
-            break
-        labels = joined()
-    rest = members.where(F.col("n") < LARGE).select("tok", "node", "size", F.col("node").alias("comp"))
-    if labels is not None:
-        rest = rest.drop("comp").join(labels, "node", "left").select("tok", "node", "size", F.coalesce("comp", "node").alias("comp"))
-    rest = rest.union(alive(labels, ROUNDS).select("tok", "node", "size", "comp"))
-    a, b = (rest.select("tok", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "size", "comp"))) for x in "ab")
-    met = a.join(b, "tok").where((F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & (F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * (least - 1e-9)))
-    met = met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "size_a", "size_b").agg(F.count("*").alias("n"))
-    edges.append(links(met.where(enough("n", "size_a", "size_b")).select("a", "b")))
-    labels = joined()
+    # Of equal fingerprints each set meets the smallest; linked fingerprints meet by their smallest sets.
+    one = rows.groupBy("fp", "node").agg(F.first("size").alias("size"))
+    prints = materialize(one.groupBy("fp").agg(F.min(F.struct("node", "size")).alias("first")), "prints")
+    near = near_fingerprints(prints.select("fp")).join(prints.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(prints.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b").select("x", "y")
+    equal = one.join(prints, "fp").where(F.col("node") != F.col("first.node")).select(F.struct("node", "size").alias("x"), F.col("first").alias("y"))
+    printed = near.union(equal).where(can("x.size", "y.size")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    # The hub of a group is the set that meets most others on an average element of its prefix, for its size.
+    weight = members.groupBy("node").agg((F.sum("n") / F.max("size")).alias("w"))
+    of = large.join(weight, "node").groupBy("tok").agg(F.max(F.struct("w", "node", "size")).alias("hub"))
+    met = large.join(of, "tok").where(F.col("node") != F.col("hub.node")).groupBy("node", "size", F.col("hub.node").alias("b"), F.col("hub.size").alias("size_b")).agg(F.count("*").alias("n"))
+    best = met.where(enough("n", "size", "size_b")).groupBy("node").agg(F.max(F.struct("n", "b")).alias("x"))
+    edges = links(printed.union(best.select(F.col("node").alias("a"), F.col("x.b").alias("b"))).distinct())
+    discard(prints)
+    labels = connected_components(edges)
+
+    def several(m: DataFrame) -> DataFrame:
+        """Members of the groups that lie in several components, with their own one and their group's size."""
+        m = m.select("tok", "node", "size").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        groups = m.groupBy("tok").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("alive")).where("c0 <> c1")
+        return m.join(groups.select("tok", "alive"), "tok")
+
+    def sides(m: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+        return tuple(m.select("tok", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "size", "comp", *more))) for x in "ab")
+
+    apart = (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & can("size_a", "size_b")
+    pair = ["node_a", "node_b", "size_a", "size_b"]
+    a, b = sides(several(members.where(F.col("n") < LARGE)))
+    few = a.join(b, "tok").where(apart).select(*pair)
+    # Large groups: one side lies in blocks, the other is in each of them.
+    left = materialize(several(large), "left")
+    bits = rows.groupBy("node").agg(F.first("bits").alias("bits")).join(left.select("node").distinct(), "node", "left_semi")
+    blocks = F.ceil(F.col("alive") / MEET).cast("int")
+    a, b = sides(left.withColumn("blocks", blocks).join(bits, "node"), "bits", "blocks")
+    a = a.withColumn("block", F.pmod(F.xxhash64("node_a"), F.col("blocks_a")).cast("int"))
+    b = b.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks_b") - 1)))
+    differ = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITS // 64)), F.lit(0))
+    many = a.join(b, ["tok", "block"]).where(apart & (differ * (1 + least) <= (F.col("size_a") + F.col("size_b")) * (1 - least) + 1e-6)).select(*pair)
+    met = few.union(many).groupBy(*pair).agg(F.count("*").alias("n"))
+    last = links(met.where(enough("n", "size_a", "size_b")).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+    labels = connected_components(edges.union(last))
     out = materialize(rows.join(labels, "node", "left").select("doc_id", "key", F.coalesce("comp", "node").alias("comp")), "components")
-    for done in (rows, members, *edges):
+    for done in (rows, members, left, edges, last):
         discard(done)
     return out
 
