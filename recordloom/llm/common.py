@@ -73,12 +73,12 @@ def own_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def map_arrow(df: DataFrame, fn: Callable[..., list], schema: StructType) -> DataFrame:
-    """``fn(*columns as lists) -> list of columns`` over each Arrow batch of ``df``."""
+def map_arrow(df: DataFrame, fn: Callable[..., list], schema: StructType, rows: int = 1 << 30) -> DataFrame:
+    """``fn(*columns as lists) -> list of columns`` over each Arrow batch of ``df``, at most ``rows`` rows at a time."""
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, rows) for b in batches for at in range(0, b.num_rows, rows)):
             if batch.num_rows:
                 got = fn(*(c.to_pylist() for c in batch.columns))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(got, arrow, strict=True)], schema=arrow)

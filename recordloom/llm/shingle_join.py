@@ -39,8 +39,8 @@ from recordloom.llm.simhash_dedup import SEED, near_fingerprints, one_each, simh
 SHINGLE_WORDS, LEAST = 5, 0.8
 #: One text in so many is sampled for common shingles, how many of those must hold one, and the most shingles that the driver gets.
 SAMPLE, COMMON, MOST = 8, 3, 1 << 17
-#: Members from which a group meets its hub first; bits of a set's bitmap, and members of a large group that meet others in one task.
-LARGE, BITS, MEET = 8, 2048, 1024
+#: Members from which a group meets its hub first; bits of a set's bitmap, and members of a block of a large group.
+LARGE, BITS, MEET = 16, 2048, 4096
 
 
 def shingle_set(text: str | None, width: int = SHINGLE_WORDS) -> np.ndarray:
@@ -50,7 +50,9 @@ def shingle_set(text: str | None, width: int = SHINGLE_WORDS) -> np.ndarray:
         return np.empty(0, np.uint64)
     shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False)) if len(words) >= width else [b" ".join(words)]
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(s, SEED) for s in shingles), np.uint64))
+    hashes = np.fromiter((digest(s, SEED) for s in shingles), np.uint64)
+    hashes.sort()
+    return hashes[np.append(True, hashes[1:] != hashes[:-1])]
 
 
 def wanted(least: float, n: int) -> int:
@@ -61,7 +63,7 @@ def wanted(least: float, n: int) -> int:
 def _common(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that are common in a sample, sorted, and in how many of its texts they are."""
     sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).select("text")
-    one = map_arrow(sample, lambda texts: [[shingle_set(t, width).view(np.int64) for t in texts]], StructType([StructField("s", ArrayType(LongType()))]))
+    one = map_arrow(sample, lambda texts: [[shingle_set(t, width).view(np.int64) for t in texts]], StructType([StructField("s", ArrayType(LongType()))]), 1000)
     often = one.select(F.explode("s").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
     got = often.orderBy(F.col("n").desc(), "s").limit(MOST).toPandas()
     order = np.argsort(got["s"].to_numpy(np.int64).view(np.uint64))
@@ -90,12 +92,12 @@ def _rows(docs: DataFrame, width: int, least: float) -> DataFrame:
         return [ids, keys, nodes, prints, [len(s) for s in sets], [prefix(s).view(np.int64) for s in sets], [bitmap(s) for s in sets]]
 
     schema = StructType([docs.schema["doc_id"], StructField("key", StringType()), StructField("node", LongType()), StructField("fp", LongType()), StructField("size", IntegerType()), StructField("prefix", ArrayType(LongType())), StructField("bits", ArrayType(LongType()))])
-    return map_arrow(docs.select("doc_id", text_key().alias("key"), "text"), run, schema)
+    return map_arrow(docs.select("doc_id", text_key().alias("key"), "text"), run, schema, 1000)
 
 
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
             packed = [shingle_set(t, width).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["node", "s"])
 
@@ -115,6 +117,51 @@ def _similar(least: float):
     return run
 
 
+def _met(least: float):
+    """The pairs of each group ``(tok, i, j)``, sorted by it, that lie in different components and whose sizes and bitmaps leave ``least`` possible."""
+
+    def pairs(group: pa.Table) -> pa.RecordBatch:
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        block, node, comp, size = (np.asarray(group.column(c)) for c in ("block", "node", "comp", "size"))
+        bits = np.asarray(group.column("bits").combine_chunks().flatten()).view(np.uint64).reshape(len(node), -1)
+        names, of = np.unique(comp, return_inverse=True)
+        most = np.bincount(of).argmax()
+        x, y = (np.arange(len(node)),) * 2 if i == j else (np.flatnonzero(block == i), np.flatnonzero(block == j))
+        if np.count_nonzero(of[x] == most) < np.count_nonzero(of[y] == most):
+            x, y = y, x
+        found = []
+        # Two of the largest component needn't be compared, so its members stand on one side alone where both sides are one block.
+        for at in x if i != j else x[of[x] != most]:
+            to = y[of[y] != of[at]]
+            low, high = np.minimum(size[to], size[at]), np.maximum(size[to], size[at])
+            to = to[low >= high * (least - 1e-9)]
+            differ = np.bitwise_count(bits[to] ^ bits[at]).sum(axis=1, dtype=np.int64)
+            to = to[differ * (1 + least) <= (size[to] + size[at]) * (1 - least) + 1e-6]
+            if len(to):
+                found.append(np.stack([np.minimum(node[to], node[at]), np.maximum(node[to], node[at])]))
+        a, b = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((2, 0), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: list[pa.RecordBatch] = []
+        for batch in batches:
+            key = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in range(3)])
+            cuts = np.flatnonzero((np.diff(key, axis=1) != 0).any(axis=0)) + 1
+            if open_ and batch.num_rows and any(open_[0].column(c)[0] != batch.column(c)[0] for c in range(3)):
+                yield pairs(pa.Table.from_batches(open_))
+                open_ = []
+            for start, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                if end > start:
+                    open_.append(batch.slice(start, end - start))
+                    if end < batch.num_rows:
+                        yield pairs(pa.Table.from_batches(open_))
+                        open_ = []
+        if open_:
+            yield pairs(pa.Table.from_batches(open_))
+
+    return run
+
+
 def components(docs: DataFrame, width: int = SHINGLE_WORDS, least: float = LEAST) -> DataFrame:
     """``doc_id, key, comp`` for each row of ``docs``: rows linked, in any number of steps, by a Jaccard of ``least`` or more.
 
@@ -167,24 +214,19 @@ def components(docs: DataFrame, width: int = SHINGLE_WORDS, least: float = LEAST
         groups = m.groupBy("tok").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("alive")).where("c0 <> c1")
         return m.join(groups.select("tok", "alive"), "tok")
 
-    def sides(m: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
-        return tuple(m.select("tok", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "size", "comp", *more))) for x in "ab")
-
+    a, b = (several(members.where(F.col("n") < LARGE)).select("tok", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "size", "comp"))) for x in "ab")
     apart = (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & can("size_a", "size_b")
-    pair = ["node_a", "node_b", "size_a", "size_b"]
-    a, b = sides(several(members.where(F.col("n") < LARGE)))
-    few = a.join(b, "tok").where(apart).select(*pair)
-    # Large groups: one side lies in blocks, the other is in each of them.
+    few = a.join(b, "tok").where(apart).groupBy("node_a", "node_b", "size_a", "size_b").agg(F.count("*").alias("n"))
+    few = few.where(enough("n", "size_a", "size_b")).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    # A pair that shares no element of a large group is among the few, with all that it shares; any other is found here.
     left = materialize(several(large), "left")
     bits = rows.groupBy("node").agg(F.first("bits").alias("bits")).join(left.select("node").distinct(), "node", "left_semi")
     blocks = F.ceil(F.col("alive") / MEET).cast("int")
-    a, b = sides(left.withColumn("blocks", blocks).join(bits, "node"), "bits", "blocks")
-    a = a.withColumn("block", F.pmod(F.xxhash64("node_a"), F.col("blocks_a")).cast("int"))
-    b = b.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks_b") - 1)))
-    differ = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITS // 64)), F.lit(0))
-    many = a.join(b, ["tok", "block"]).where(apart & (differ * (1 + least) <= (F.col("size_a") + F.col("size_b")) * (1 - least) + 1e-6)).select(*pair)
-    met = few.union(many).groupBy(*pair).agg(F.count("*").alias("n"))
-    last = links(met.where(enough("n", "size_a", "size_b")).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+    dealt = left.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(bits, "node")
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("tok", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "comp", "size", "bits")
+    many = dealt.repartition("tok", "i", "j").sortWithinPartitions("tok", "i", "j").mapInArrow(_met(least), "a long, b long")
+    last = links(few.union(many).distinct())
     labels = connected_components(edges.union(last))
     out = materialize(rows.join(labels, "node", "left").select("doc_id", "key", F.coalesce("comp", "node").alias("comp")), "components")
     for done in (rows, members, left, edges, last):
