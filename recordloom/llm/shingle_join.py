@@ -38,7 +38,7 @@ from recordloom.llm.simhash_dedup import SEED, near_fingerprints, one_each, simh
 
 SHINGLE_WORDS, LEAST = 5, 0.8
 #: One text in so many is sampled for common shingles, how many of those must hold one, and the most shingles that the driver gets.
-SAMPLE, COMMON, MOST = 8, 3, 1 << 17
+SAMPLE, COMMON, MOST = 16, 3, 1 << 17
 #: Members from which a group meets its hub first; bits of a set's bitmap, and members of a block of a large group.
 LARGE, BITS, MEET = 16, 2048, 4096
 
@@ -184,13 +184,14 @@ def components(docs: DataFrame, width: int = SHINGLE_WORDS, least: float = LEAST
         """Those of the pairs ``(a, b)`` of nodes that are similar, on whole sets made anew from one text of each node."""
         pairs = materialize(pairs, "pairs")
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        keys = rows.select("node", "key").join(ends, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
+        # Written first, so that its size is known before texts are shuffled for it.
+        keys = materialize(rows.select("node", "key").join(ends, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")), "keys")
         texts = docs.select(text_key().alias("key"), "text").join(keys, "key").select("node", "text").dropDuplicates(["node"])
         sets = materialize(texts.mapInArrow(_sets(width), "node long, s binary"), "sets")
         whole = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
         out = materialize(whole.mapInArrow(_similar(least), "a long, b long"), "links")
-        discard(sets)
-        discard(pairs)
+        for done in (sets, pairs, keys):
+            discard(done)
         return out
 
     # Of equal fingerprints each set meets the smallest; linked fingerprints meet by their smallest sets.
@@ -220,7 +221,8 @@ def components(docs: DataFrame, width: int = SHINGLE_WORDS, least: float = LEAST
     few = few.where(enough("n", "size_a", "size_b")).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     # A pair that shares no element of a large group is among the few, with all that it shares; any other is found here.
     left = materialize(several(large), "left")
-    bits = rows.groupBy("node").agg(F.first("bits").alias("bits")).join(left.select("node").distinct(), "node", "left_semi")
+    alive = materialize(left.select("node").distinct(), "alive")
+    bits = rows.select("node", "bits").join(alive, "node", "left_semi").dropDuplicates(["node"])
     blocks = F.ceil(F.col("alive") / MEET).cast("int")
     dealt = left.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(bits, "node")
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -229,7 +231,7 @@ def components(docs: DataFrame, width: int = SHINGLE_WORDS, least: float = LEAST
     last = links(few.union(many).distinct())
     labels = connected_components(edges.union(last))
     out = materialize(rows.join(labels, "node", "left").select("doc_id", "key", F.coalesce("comp", "node").alias("comp")), "components")
-    for done in (rows, members, left, edges, last):
+    for done in (rows, members, left, alive, edges, last):
         discard(done)
     return out
 
