@@ -1,15 +1,18 @@
 """License scans (operator 2): the Dice coefficient of word bigrams with licence templates.
 
 A text's words, lower-cased and without punctuation, are compared with each template
-over every run of the template's own number of words, or over the whole text if it
-is shorter. Size bounds prune first: bigram multisets of a and b members have a
-Dice coefficient of at least t only if the smaller has t / (2 - t) of the larger,
-and a run must hold t of the template's bigrams at all.
+over every run of words whose size leaves the wanted coefficient possible: bigram
+multisets of a and b members have a Dice coefficient of at least t only if the
+smaller has t / (2 - t) of the larger. So a template is a candidate only if the text
+holds that share of its bigrams close enough together, and a run begins and ends
+with a bigram of the template, as one trimmed to these has no smaller coefficient.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -26,14 +29,28 @@ _WARRANTY = (
     "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
     "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
 )
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_ENDORSE = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY "
+    "AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 # The public texts of licences and of the notices that point to them.
 TEMPLATES = [
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + _WARRANTY),
     ("MIT", "Released under the MIT License."),
     ("MIT", "This project is licensed under the terms of the MIT license."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
-    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
-    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD-2-Clause", _BSD + _DISCLAIMER),
+    ("BSD-2-Clause", _BSD),
+    ("BSD-3-Clause", _BSD + "3. " + _ENDORSE + " " + _DISCLAIMER),
+    ("BSD-3-Clause", _ENDORSE),
     ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
     ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
     ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
@@ -71,22 +88,42 @@ class Templates:
         """Findings ``(licence, Dice, first word, end)``: each licence's best run, the earliest of equals."""
         words = words_of(text)
         pairs = self.pairs(words)
-        if not (pairs >= 0).any():
-            return []
+        known = np.flatnonzero(pairs >= 0)
         best: dict[str, tuple] = {}
-        for name, n_words, wanted, members, n in self.own:
-            size = min(n, len(pairs))
-            need = self.least * (n + size) / 2
-            if size * (2 - self.least) < self.least * n or np.count_nonzero(pairs >= 0) < need:
+        for name, _, wanted, members, n in self.own:
+            need = math.ceil(self.least * n / (2 - self.least) - 1e-9)
+            most = math.floor(n * (2 - self.least) / self.least + 1e-9)
+            if not n or len(known) < need:
                 continue
-            inside = np.append(0, np.cumsum(np.isin(pairs, members)))
-            run = inside[size:] - inside[:-size]
-            for at in np.flatnonzero(run >= need - 1e-9).tolist():
-                dice = 2 * (Counter(pairs[at : at + size].tolist()) & wanted).total() / (n + size)
-                if dice >= self.least and (name not in best or dice > best[name][1]):
-                    best[name] = (name, dice, at, at + size + 1)
+            at = known[np.isin(pairs[known], members)]
+            if len(at) < need:
+                continue
+            close = np.flatnonzero(at[need - 1 :] - at[: len(at) - need + 1] < most)
+            for first in close.tolist():
+                dice, last = self.run(pairs[at[first : np.searchsorted(at, at[first] + most)]], at[first:], wanted, n)
+                if dice >= self.least - 1e-12 and (name not in best or dice > best[name][1]):
+                    best[name] = (name, dice, int(at[first]), int(last) + 2)
+                    if dice == 1.0:
+                        break
         return sorted(best.values(), key=lambda f: (-f[1], f[2], f[0]))
 
+    @staticmethod
+    def run(got: np.ndarray, at: np.ndarray, wanted: Counter, n: int) -> tuple[float, int]:
+        """The best Dice of the runs that begin with the bigram at ``at[0]``, and the place of the last bigram of the shortest such run."""
+        order = np.argsort(got, kind="stable")
+        listed = got[order]
+        starts = np.flatnonzero(np.append(True, listed[1:] != listed[:-1]))
+        rank = np.empty(len(got), np.int64)
+        rank[order] = np.arange(len(got)) - np.repeat(starts, np.diff(np.append(starts, len(got))))
+        counts = np.fromiter((wanted[x] for x in got.tolist()), np.int64, len(got))
+        dice = 2 * np.cumsum(rank < counts) / (n + at[: len(got)] - at[0] + 1)
+        return float(dice.max()), int(at[int(dice.argmax())])
+
+
+def templates_in(folder: str) -> list[tuple[str, str]]:
+    """Templates from a folder of the driver that holds whole licence texts, named by the files: for the licences whose body is not among ``TEMPLATES``."""
+    return [(p.name.removesuffix(".txt"), p.read_text(encoding="utf-8", errors="replace")) for p in sorted(Path(folder).iterdir()) if p.is_file() and not p.is_symlink()]
+
 
 def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, *, least: float = LEAST) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, n_licenses, license, dice, licenses``.
