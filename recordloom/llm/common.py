@@ -12,6 +12,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
+#: Rows of an Arrow batch that are Python objects at one time.
+ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -73,7 +77,7 @@ def own_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def map_arrow(df: DataFrame, fn: Callable[..., list], schema: StructType, rows: int = 1 << 30) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[..., list], schema: StructType, rows: int = ROWS) -> DataFrame:
     """``fn(*columns as lists) -> list of columns`` over each Arrow batch of ``df``, at most ``rows`` rows at a time."""
     arrow = to_arrow_schema(schema)
 
@@ -91,7 +95,7 @@ def filter_rows(df: DataFrame, column: str, keep: Callable[[list], list[bool]])
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             if batch.num_rows:
                 yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
 

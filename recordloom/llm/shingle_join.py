@@ -63,7 +63,7 @@ def wanted(least: float, n: int) -> int:
 def _common(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that are common in a sample, sorted, and in how many of its texts they are."""
     sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).select("text")
-    one = map_arrow(sample, lambda texts: [[shingle_set(t, width).view(np.int64) for t in texts]], StructType([StructField("s", ArrayType(LongType()))]), 1000)
+    one = map_arrow(sample, lambda texts: [[shingle_set(t, width).view(np.int64) for t in texts]], StructType([StructField("s", ArrayType(LongType()))]))
     often = one.select(F.explode("s").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
     got = often.orderBy(F.col("n").desc(), "s").limit(MOST).toPandas()
     order = np.argsort(got["s"].to_numpy(np.int64).view(np.uint64))
@@ -92,7 +92,7 @@ def _rows(docs: DataFrame, width: int, least: float) -> DataFrame:
         return [ids, keys, nodes, prints, [len(s) for s in sets], [prefix(s).view(np.int64) for s in sets], [bitmap(s) for s in sets]]
 
     schema = StructType([docs.schema["doc_id"], StructField("key", StringType()), StructField("node", LongType()), StructField("fp", LongType()), StructField("size", IntegerType()), StructField("prefix", ArrayType(LongType())), StructField("bits", ArrayType(LongType()))])
-    return map_arrow(docs.select("doc_id", text_key().alias("key"), "text"), run, schema, 1000)
+    return map_arrow(docs.select("doc_id", text_key().alias("key"), "text"), run, schema)
 
 
 def _sets(width: int):
@@ -106,7 +106,7 @@ def _sets(width: int):
 
 def _similar(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)

@@ -42,7 +42,7 @@ GENERATOR = 0b101011100011
 #: Replicas compared in one group; an anchor with more is split.
 BLOCK = 1 << 20
 #: Distinct fingerprints from which anchors are pairs of words (with one word, uniform anchors hold ``BLOCK`` replicas there), and fingerprints replicated at once with one word or two.
-LONG_FROM, AT_ONCE = 1 << 26, (1 << 14, 1 << 12)
+LONG_FROM, AT_ONCE = 1 << 26, (1 << 13, 1 << 11)
 #: Anchors whose counts are added up first, as bits, with one word or two; the driver gets 2^12 or 2^18 counts.
 CELL = (0, 6)
 #: The parts of a fingerprint by which crowded anchors are split: first bit and bits.
