@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from recordloom.llm import chat_format, common, decontaminate, graph, language_id, license_scan, queries, quality_classifier, secret_scan, shingle_join, simhash_dedup, source_mix, token_counts
+from recordloom.llm import chat_format, common, decontaminate, graph, language_id, license_scan, metric_topk, queries, quality_classifier, secret_scan, shingle_join, simhash_dedup, source_mix, token_counts
 
 DIR = "/root/testdata/sf0.01"
 
@@ -305,3 +305,24 @@ def test_each_stage_decides_by_its_rule(spark):
         assert r.text == secret_scan.redact(rows[r.doc_id].text) and r.n_chars == len(r.text)
         for start, end, _ in secret_scan.spans(rows[r.doc_id].text):
             assert rows[r.doc_id].text[start:end] not in r.text
+
+
+@pytest.mark.parametrize("block", [16, 1 << 14])
+def test_topk_over_many_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(metric_topk, "BLOCK", block)
+    rng = np.random.default_rng(18)
+    centres = rng.normal(size=(12, 6)) * 4
+    v = centres[rng.integers(0, 12, 600)] + rng.normal(size=(600, 6)) / 50
+    v[200:350] = v[200]
+    got = defaultdict(list)
+    for r in metric_topk.top_k(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    e = np.floor(1024 * v).astype(np.int64)
+    for q in range(0, 600, 100):
+        scores = e @ e[q]
+        assert got[q] == sorted(((i, int(s)) for i, s in enumerate(scores) if i != q), key=lambda x: (-x[1], x[0]))[:10]
+
+
+def test_scores_that_leave_62_bits_are_an_error(spark):
+    with pytest.raises(Exception, match="63 bits"):
+        metric_topk.top_k(spark.createDataFrame([(1, [1e17, 1.0])], "vec_id long, embedding array<double>")).collect()
