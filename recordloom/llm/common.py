@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -60,6 +61,12 @@ def discard(df: DataFrame) -> None:
         at.getFileSystem(conf).delete(at, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Has the driver find the shuffles of finished jobs that nothing needs any more, so that executors delete their files now, not at the driver's next collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def clean_up(spark: SparkSession) -> None:
     """Deletes all files of ``materialize`` of this application. Results that aren't written yet can't be read after that."""
     at = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/recordloom/{spark.sparkContext.applicationId}")

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from recordloom.llm.common import discard, map_arrow, materialize
+from recordloom.llm.common import discard, map_arrow, materialize, release
 from recordloom.llm.graph import connected_components
 from recordloom.llm.simhash_dedup import SEED, near_fingerprints, one_each, simhash, text_key
 
@@ -71,7 +71,7 @@ def _common(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _rows(docs: DataFrame, width: int, least: float) -> DataFrame:
-    """``doc_id, key, node, fp, size, prefix, bits`` for each row; rows of one shingle set have one ``node``."""
+    """``doc_id, key, node, fp, size, prefix, bits, wide`` for each row; rows of one shingle set have one ``node``. ``wide`` is the bitmap of a large set, four bits or more an element."""
     common, often = _common(docs, width)
 
     def prefix(s: np.ndarray) -> np.ndarray:
@@ -80,18 +80,21 @@ def _rows(docs: DataFrame, width: int, least: float) -> DataFrame:
             s = s[np.argsort(np.where(common[at] == s, often[at], 0), kind="stable")]
         return s[: len(s) - wanted(least, len(s)) + 1] if len(s) else s
 
-    def bitmap(s: np.ndarray) -> np.ndarray:
-        on = np.zeros(BITS, bool)
-        on[(s & np.uint64(BITS - 1)).astype(np.int64)] = True
+    def bitmap(s: np.ndarray, size: int = BITS) -> np.ndarray:
+        on = np.zeros(size, bool)
+        on[(s & np.uint64(size - 1)).astype(np.int64)] = True
         return np.packbits(on, bitorder="little").view("<i8")
 
+    def wide(s: np.ndarray) -> np.ndarray | None:
+        return bitmap(s, 4 << (len(s) - 1).bit_length()) if 4 * len(s) > BITS else None
+
     def run(ids: list, keys: list, texts: list) -> list:
         sets = [shingle_set(t, width) for t in texts]
         nodes = np.fromiter((xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets), np.uint64, len(sets)).view(np.int64)
         prints = np.fromiter((simhash(s) if len(s) else 0 for s in sets), np.uint64, len(sets)).view(np.int64)
-        return [ids, keys, nodes, prints, [len(s) for s in sets], [prefix(s).view(np.int64) for s in sets], [bitmap(s) for s in sets]]
+        return [ids, keys, nodes, prints, [len(s) for s in sets], [prefix(s).view(np.int64) for s in sets], [bitmap(s) for s in sets], [wide(s) for s in sets]]
 
-    schema = StructType([docs.schema["doc_id"], StructField("key", StringType()), StructField("node", LongType()), StructField("fp", LongType()), StructField("size", IntegerType()), StructField("prefix", ArrayType(LongType())), StructField("bits", ArrayType(LongType()))])
+    schema = StructType([docs.schema["doc_id"], StructField("key", StringType()), StructField("node", LongType()), StructField("fp", LongType()), StructField("size", IntegerType()), StructField("prefix", ArrayType(LongType())), StructField("bits", ArrayType(LongType())), StructField("wide", ArrayType(LongType()))])
     return map_arrow(docs.select("doc_id", text_key().alias("key"), "text"), run, schema)
 
 
@@ -117,6 +120,27 @@ def _similar(least: float):
     return run
 
 
+def _possible(least: float):
+    """The pairs whose sizes and bitmaps leave ``least`` possible."""
+
+    def unlike(x: np.ndarray, y: np.ndarray) -> int:
+        while len(x) != len(y):  # the upper half of the longer one folds onto its lower half
+            x, y = (x, y) if len(x) > len(y) else (y, x)
+            x = x[: len(x) // 2] | x[len(x) // 2 :]
+        return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for m, n, *maps in zip(*(batch.column(c) for c in ("size_a", "size_b", "bits_a", "bits_b")), strict=True):
+                m, n = m.as_py(), n.as_py()
+                x, y = (np.asarray(v.values).view(np.uint64) for v in maps)
+                keep.append(min(m, n) >= max(m, n) * (least - 1e-9) and unlike(x, y) * (1 + least) <= (m + n) * (1 - least) + 1e-6)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _met(least: float):
     """The pairs of each group ``(tok, i, j)``, sorted by it, that lie in different components and whose sizes and bitmaps leave ``least`` possible."""
 
@@ -172,6 +196,7 @@ def components(docs: DataFrame, width: int = SHINGLE_WORDS, least: float = LEAST
     heads = nodes.select("node", "size", F.explode("prefix").alias("tok"))
     shared = heads.groupBy("tok").agg(F.count("*").alias("n")).where("n > 1")
     members = materialize(heads.join(shared, "tok").select("tok", "node", "size", "n"), "members")
+    release(docs.sparkSession)
     large = members.where(F.col("n") >= LARGE)
     can = lambda m, n: F.least(m, n) >= F.greatest(m, n) * (least - 1e-9)  # noqa: E731  whether sizes leave ``least`` possible
 
@@ -183,15 +208,20 @@ def components(docs: DataFrame, width: int = SHINGLE_WORDS, least: float = LEAST
     def links(pairs: DataFrame) -> DataFrame:
         """Those of the pairs ``(a, b)`` of nodes that are similar, on whole sets made anew from one text of each node."""
         pairs = materialize(pairs, "pairs")
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        ends = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
+        maps = materialize(rows.select("node", "size", F.coalesce("wide", "bits").alias("bits")).join(ends, "node", "left_semi").dropDuplicates(["node"]), "bitmaps")
+        both = pairs.join(maps.toDF("a", "size_a", "bits_a"), "a").join(maps.toDF("b", "size_b", "bits_b"), "b")
+        kept = materialize(both.mapInArrow(_possible(least), "a long, b long"), "possible")
+        ends = kept.select(F.col("a").alias("node")).union(kept.select("b")).distinct()
         # Written first, so that its size is known before texts are shuffled for it.
         keys = materialize(rows.select("node", "key").join(ends, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")), "keys")
         texts = docs.select(text_key().alias("key"), "text").join(keys, "key").select("node", "text").dropDuplicates(["node"])
         sets = materialize(texts.mapInArrow(_sets(width), "node long, s binary"), "sets")
-        whole = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
+        whole = kept.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
         out = materialize(whole.mapInArrow(_similar(least), "a long, b long"), "links")
-        for done in (sets, pairs, keys):
+        for done in (sets, pairs, keys, maps, kept):
             discard(done)
+        release(docs.sparkSession)
         return out
 
     # Of equal fingerprints each set meets the smallest; linked fingerprints meet by their smallest sets.
