@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from recordloom.llm.common import discard, map_arrow, materialize, release
 from recordloom.llm.graph import connected_components
@@ -94,28 +94,15 @@ def _rows(docs: DataFrame, width: int, least: float) -> DataFrame:
         prints = np.fromiter((simhash(s) if len(s) else 0 for s in sets), np.uint64, len(sets)).view(np.int64)
         return [ids, keys, nodes, prints, [len(s) for s in sets], [prefix(s).view(np.int64) for s in sets], [bitmap(s) for s in sets], [wide(s) for s in sets]]
 
-    schema = StructType([docs.schema["doc_id"], StructField("key", StringType()), StructField("node", LongType()), StructField("fp", LongType()), StructField("size", IntegerType()), StructField("prefix", ArrayType(LongType())), StructField("bits", ArrayType(LongType())), StructField("wide", ArrayType(LongType()))])
+    schema = StructType([docs.schema["doc_id"], StructField("key", BinaryType()), StructField("node", LongType()), StructField("fp", LongType()), StructField("size", IntegerType()), StructField("prefix", ArrayType(LongType())), StructField("bits", ArrayType(LongType())), StructField("wide", ArrayType(LongType()))])
     return map_arrow(docs.select("doc_id", text_key().alias("key"), "text"), run, schema)
 
 
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
-            packed = [shingle_set(t, width).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["node", "s"])
-
-    return run
-
-
-def _similar(least: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= wanted(least, len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            sets = [shingle_set(t, width).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "s"])
 
     return run
 
@@ -216,9 +203,9 @@ def components(docs: DataFrame, width: int = SHINGLE_WORDS, least: float = LEAST
         # Written first, so that its size is known before texts are shuffled for it.
         keys = materialize(rows.select("node", "key").join(ends, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")), "keys")
         texts = docs.select(text_key().alias("key"), "text").join(keys, "key").select("node", "text").dropDuplicates(["node"])
-        sets = materialize(texts.mapInArrow(_sets(width), "node long, s binary"), "sets")
-        whole = kept.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
-        out = materialize(whole.mapInArrow(_similar(least), "a long, b long"), "links")
+        sets = materialize(texts.mapInArrow(_sets(width), "node long, s array<long>"), "sets")
+        whole = kept.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", F.size("sa").alias("m"), F.size("sb").alias("n"), F.size(F.array_intersect("sa", "sb")).alias("both"))
+        out = materialize(whole.where(F.col("both") >= F.ceil((F.col("m") + F.col("n") - F.col("both")) * least - 1e-9)).select("a", "b"), "links")
         for done in (sets, pairs, keys, maps, kept):
             discard(done)
         release(docs.sparkSession)

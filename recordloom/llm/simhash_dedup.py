@@ -287,8 +287,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def text_key() -> Column:
-    """A text's key, the same for a null text and an empty one."""
-    return F.md5(F.coalesce("text", F.lit("")))
+    """A text's key, 16 bytes, the same for a null text and an empty one."""
+    return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
 
 
 def one_each(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -296,17 +296,21 @@ def one_each(docs: DataFrame, found: DataFrame) -> DataFrame:
 
     That is a row of the component's smallest id; where all its ids are null, of its
     smallest text key. ``key`` is the row's ``text_key``, and ``comp`` depends on the
-    text only, so that an id and a key name rows of a single component.
+    text only, so that an id and a key name rows of a single component. Only the ids
+    and keys of components with several rows are joined with the texts.
     """
-    of_id, of_key, of_rows, text = own_names(docs, "kept_id", "kept_key", "kept_rows", "kept_text")
+    of_id, of_key, of_mark, text = own_names(docs, "kept_id", "kept_key", "kept_mark", "kept_text")
     rows = found.groupBy("comp", "doc_id", "key").agg(F.count("*").alias("n"))
-    first = F.min_by(F.struct("doc_id", "key", "n"), F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
-    keep = materialize(rows.groupBy("comp").agg(first.alias("x")).select(F.col("x.doc_id").alias(of_id), F.col("x.key").alias(of_key), F.col("x.n").alias(of_rows)), "kept")
-    kept = docs.withColumn(text, text_key()).join(keep, F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.col(text) == F.col(of_key)))
-    if not keep.where(F.col(of_rows) > 1).limit(1).count():
-        return kept.select(*docs.columns)
-    once = kept.where(F.col(of_rows) == 1).select(*docs.columns)
-    return once.union(kept.where(F.col(of_rows) > 1).dropDuplicates(["doc_id", text]).select(*docs.columns))
+    first = F.min_by(F.struct("doc_id", "key"), F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+    firsts = rows.groupBy("comp").agg(first.alias("first"), F.sum("n").alias("rows")).where(F.col("rows") > 1)
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
+    marks = rows.join(firsts, "comp").where(~is_first | (F.col("n") > 1))
+    marks = materialize(marks.select(F.col("doc_id").alias(of_id), F.col("key").alias(of_key), F.when(is_first, "repeated").otherwise("dropped").alias(of_mark)), "marks")
+    marked = docs.withColumn(text, text_key()).join(marks, F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.col(text) == F.col(of_key)), "left")
+    once = marked.where(F.col(of_mark).isNull()).select(*docs.columns)
+    if not marks.where(F.col(of_mark) == "repeated").limit(1).count():
+        return once
+    return once.union(marked.where(F.col(of_mark) == "repeated").dropDuplicates(["doc_id", text]).select(*docs.columns))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
