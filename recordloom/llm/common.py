@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -61,6 +62,11 @@ def discard(df: DataFrame) -> None:
         at.getFileSystem(conf).delete(at, True)
 
 
+def few(df: DataFrame, rows: int = 1 << 20) -> DataFrame:
+    """A written table of narrow rows, to be broadcast if it has at most ``rows``; beyond, joined by a shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def release(spark: SparkSession) -> None:
     """Has the driver find the shuffles of finished jobs that nothing needs any more, so that executors delete their files now, not at the driver's next collection."""
     gc.collect()

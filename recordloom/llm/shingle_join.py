@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from recordloom.llm.common import discard, map_arrow, materialize, release
+from recordloom.llm.common import discard, few, map_arrow, materialize, release
 from recordloom.llm.graph import connected_components
 from recordloom.llm.simhash_dedup import SEED, near_fingerprints, one_each, simhash, text_key
 
@@ -200,9 +200,9 @@ def components(docs: DataFrame, width: int = SHINGLE_WORDS, least: float = LEAST
         both = pairs.join(maps.toDF("a", "size_a", "bits_a"), "a").join(maps.toDF("b", "size_b", "bits_b"), "b")
         kept = materialize(both.mapInArrow(_possible(least), "a long, b long"), "possible")
         ends = kept.select(F.col("a").alias("node")).union(kept.select("b")).distinct()
-        # Written first, so that its size is known before texts are shuffled for it.
+        # Written first: while these are few, no text is shuffled for them.
         keys = materialize(rows.select("node", "key").join(ends, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")), "keys")
-        texts = docs.select(text_key().alias("key"), "text").join(keys, "key").select("node", "text").dropDuplicates(["node"])
+        texts = docs.select(text_key().alias("key"), "text").join(few(keys), "key").select("node", "text").dropDuplicates(["node"])
         sets = materialize(texts.mapInArrow(_sets(width), "node long, s array<long>"), "sets")
         whole = kept.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", F.size("sa").alias("m"), F.size("sb").alias("n"), F.size(F.array_intersect("sa", "sb")).alias("both"))
         out = materialize(whole.where(F.col("both") >= F.ceil((F.col("m") + F.col("n") - F.col("both")) * least - 1e-9)).select("a", "b"), "links")
@@ -234,9 +234,9 @@ def components(docs: DataFrame, width: int = SHINGLE_WORDS, least: float = LEAST
 
     a, b = (several(members.where(F.col("n") < LARGE)).select("tok", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "size", "comp"))) for x in "ab")
     apart = (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & can("size_a", "size_b")
-    few = a.join(b, "tok").where(apart).groupBy("node_a", "node_b", "size_a", "size_b").agg(F.count("*").alias("n"))
-    few = few.where(enough("n", "size_a", "size_b")).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    # A pair that shares no element of a large group is among the few, with all that it shares; any other is found here.
+    rare = a.join(b, "tok").where(apart).groupBy("node_a", "node_b", "size_a", "size_b").agg(F.count("*").alias("n"))
+    rare = rare.where(enough("n", "size_a", "size_b")).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    # A pair that shares no element of a large group is among these, with all that it shares; any other is found here.
     left = materialize(several(large), "left")
     alive = materialize(left.select("node").distinct(), "alive")
     bits = rows.select("node", "bits").join(alive, "node", "left_semi").dropDuplicates(["node"])
@@ -245,7 +245,7 @@ def components(docs: DataFrame, width: int = SHINGLE_WORDS, least: float = LEAST
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("tok", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "comp", "size", "bits")
     many = dealt.repartition("tok", "i", "j").sortWithinPartitions("tok", "i", "j").mapInArrow(_met(least), "a long, b long")
-    last = links(few.union(many).distinct())
+    last = links(rare.union(many).distinct())
     labels = connected_components(edges.union(last))
     out = materialize(rows.join(labels, "node", "left").select("doc_id", "key", F.coalesce("comp", "node").alias("comp")), "components")
     for done in (rows, members, left, alive, edges, last):

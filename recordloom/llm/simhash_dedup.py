@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from recordloom.llm.common import map_arrow, materialize, own_names, table
+from recordloom.llm.common import few, map_arrow, materialize, own_names, table
 from recordloom.llm.graph import connected_components
 
 SHINGLE_WORDS, SEED, RADIUS, THRESHOLD, LENGTH = 3, 42, 3, 3, 23
@@ -306,7 +306,7 @@ def one_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
     marks = rows.join(firsts, "comp").where(~is_first | (F.col("n") > 1))
     marks = materialize(marks.select(F.col("doc_id").alias(of_id), F.col("key").alias(of_key), F.when(is_first, "repeated").otherwise("dropped").alias(of_mark)), "marks")
-    marked = docs.withColumn(text, text_key()).join(marks, F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.col(text) == F.col(of_key)), "left")
+    marked = docs.withColumn(text, text_key()).join(few(marks), F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.col(text) == F.col(of_key)), "left")
     once = marked.where(F.col(of_mark).isNull()).select(*docs.columns)
     if not marks.where(F.col(of_mark) == "repeated").limit(1).count():
         return once
