@@ -90,14 +90,18 @@ def coordinates(rows: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def edit_distance(a: str, b: str) -> int:
-    """Insertions, deletions, substitutions and swaps of neighbours between two words, no place edited twice."""
-    before, row = [], list(range(len(b) + 1))
+    """Insertions, deletions, substitutions and swaps of neighbours between two words; what was swapped may be edited on."""
+    far = len(a) + len(b)
+    cost = {(-1, j): far for j in range(-1, len(b) + 1)} | {(i, -1): far for i in range(len(a) + 1)}
+    cost |= {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
+    row_of: dict[str, int] = {}
     for i, x in enumerate(a, 1):
-        fresh = [i]
+        column = 0  # the last place in b of this row that matched
         for j, y in enumerate(b, 1):
-            least = min(row[j] + 1, fresh[j - 1] + 1, row[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                least = min(least, before[j - 2] + 1)
-            fresh.append(least)
-        before, row = row, fresh
-    return row[-1]
+            row, met = row_of.get(y, 0), column
+            if x == y:
+                column = j
+            swap = cost[row - 1, met - 1] + (i - row - 1) + 1 + (j - met - 1) if row and met else far
+            cost[i, j] = min(cost[i - 1, j - 1] + (x != y), cost[i, j - 1] + 1, cost[i - 1, j] + 1, swap)
+        row_of[x] = i
+    return cost[len(a), len(b)]
