@@ -97,10 +97,10 @@ def keyword_tokens(text: Column, stopwords: Sequence[str] = (), *, least: int =
 
 
 def plain_glyphs(text: Column) -> Column:
-    """Line ends as LF, curly quotes straight, doubled single quotes as one double, no-break spaces as blanks."""
+    """Line ends as LF, curly quotes straight, doubled single quotes or backticks as one double, no-break spaces as blanks."""
     lines = F.regexp_replace(text, r"\r\n?", "\n")
-    single = F.regexp_replace(lines, "[‘-‛`]", "'")
-    return F.translate(F.regexp_replace(F.regexp_replace(single, "''", '"'), "[“-‟]", '"'), "  ", "  ")
+    single = F.regexp_replace(lines, "[‘-‛]", "'")
+    return F.translate(F.regexp_replace(F.regexp_replace(single, "''|``", '"'), "[“-‟]", '"'), "  ", "  ")
 
 
 def rejoined(text: Column) -> tuple[Column, Column]:

@@ -23,6 +23,21 @@ def tiers(left: DataFrame, right: DataFrame, left_id: str, right_id: str, keys:
     return out.groupBy(left_id, right_id).agg(F.min("i").alias("i")).select(left_id, right_id, names[F.col("i")].alias("tier"))
 
 
+def best_tier(left: DataFrame, right: DataFrame, left_id: str, right_id: str, keys: Sequence[tuple[str, Column, Column]], *, others: bool = False) -> DataFrame:
+    """Pairs of each left row's best tier only, the first on which it meets any right row: ``left_id, right_id, tier``.
+
+    Rows that have met go before the next, weaker key is joined, so a weak key never
+    pairs rows that a strong one has linked. ``others`` leaves out the row's own id.
+    """
+    out, rest = None, left
+    for name, a, b in keys:
+        found = rest.select(F.col(left_id), a.alias("k")).join(right.select(F.col(right_id), b.alias("k")), "k").select(left_id, right_id, F.lit(name).alias("tier"))
+        found = found.where(F.col(left_id) != F.col(right_id)) if others else found
+        out = found if out is None else out.union(found)
+        rest = rest.join(found.select(left_id).distinct(), left_id, "left_anti")
+    return out
+
+
 def last_before(events: DataFrame, key: str, at: Column, is_left: Column, is_right: Column, right_value: Column) -> DataFrame:
     """Each left row with the value of the last right row strictly before it, in one sort by key (an as-of join)."""
     w = Window.partitionBy(key).orderBy(at).rangeBetween(Window.unboundedPreceding, -1)

@@ -43,9 +43,14 @@ def gaps(keys: DataFrame, column: str) -> DataFrame:
     """
     k = keys.select(F.col(column).cast("long").alias("k")).where("k is not null").distinct().withColumn("part", F.floor(F.col("k") / 1_000_000))
     inner = k.withColumn("next", F.lead("k").over(Window.partitionBy("part").orderBy("k"))).where("next > k + 1").select((F.col("k") + 1).alias("gap_start"), (F.col("next") - 1).alias("gap_end"))
-    ends = k.groupBy("part").agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
-    outer = ends.withColumn("next", F.lead("lo").over(Window.orderBy("part"))).where("next > hi + 1").select((F.col("hi") + 1).alias("gap_start"), (F.col("next") - 1).alias("gap_end"))
-    return inner.union(outer)
+    ends, out = k.groupBy("part").agg(F.min("k").alias("lo"), F.max("k").alias("hi")), inner
+    between = lambda rows, w: rows.withColumn("next", F.lead("lo").over(w.orderBy("lo"))).where("next > hi + 1").select((F.col("hi") + 1).alias("gap_start"), (F.col("next") - 1).alias("gap_end"))
+    for _ in range(2):  # ranges in ranges of a million, twice: of 64-bit keys some twenty are left
+        ends = ends.withColumn("above", F.floor(F.col("part") / 1_000_000))
+        out = out.union(between(ends, Window.partitionBy("above")))
+        ends = ends.groupBy(F.col("above").alias("part")).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    outer = between(ends, Window.partitionBy(F.lit(0)))
+    return out.union(outer)
 
 
 def page_chain_breaks(pages: DataFrame) -> DataFrame:

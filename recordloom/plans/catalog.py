@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions import keys, text, values
 from recordloom.operators import diff, link, quality, select
-from recordloom.plans import checks, texts  # noqa: F401  register their queries
+from recordloom.plans import checks, tables, texts  # noqa: F401  register their queries
 from recordloom.plans.registry import QUERIES, SQL, registered
 
 
@@ -193,15 +193,48 @@ def top_orders_per_customer(t):
 
 
 @registered("""
-WITH p AS (SELECT p_partkey AS r_id, p_brand, p_type, p_size FROM part), s AS (SELECT p_partkey AS l_id, p_brand, p_type, p_size FROM part WHERE p_partkey % 50 = 0),
-x AS (SELECT l_id, r_id, 0 AS i FROM s JOIN p USING (p_brand, p_type) UNION ALL SELECT l_id, r_id, 1 FROM s JOIN p USING (p_brand, p_size) UNION ALL SELECT l_id, r_id, 2 FROM s JOIN p USING (p_type, p_size))
-SELECT l_id, r_id, CASE min(i) WHEN 0 THEN 'brand_type' WHEN 1 THEN 'brand_size' ELSE 'type_size' END AS tier FROM x GROUP BY 1, 2""")
+WITH p AS (SELECT p_partkey AS id, p_brand, p_type, p_size FROM part),
+a AS (SELECT x.id AS l_id, y.id AS r_id, 'brand_type_size' AS tier FROM p x JOIN p y USING (p_brand, p_type, p_size) WHERE x.id <> y.id),
+b AS (SELECT x.id AS l_id, y.id AS r_id, 'brand_type' AS tier FROM p x JOIN p y USING (p_brand, p_type) WHERE x.id <> y.id AND x.id NOT IN (SELECT l_id FROM a)),
+c AS (SELECT x.id AS l_id, y.id AS r_id, 'type_size' AS tier FROM p x JOIN p y USING (p_type, p_size) WHERE x.id <> y.id AND x.id NOT IN (SELECT l_id FROM a UNION SELECT l_id FROM b))
+SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c""")
 def tier_cascade_link(t):
     p = t("part")
     key = lambda *c: F.concat_ws("@", *(F.col(x).cast("string") for x in c))
-    pairs = [("brand_type", "p_brand", "p_type"), ("brand_size", "p_brand", "p_size"), ("type_size", "p_type", "p_size")]
-    left = p.where("p_partkey % 50 = 0").withColumnRenamed("p_partkey", "l_id")
-    return link.tiers(left, p.withColumnRenamed("p_partkey", "r_id"), "l_id", "r_id", [(n, key(a, b), key(a, b)) for n, a, b in pairs])
+    of = [("brand_type_size", "p_brand", "p_type", "p_size"), ("brand_type", "p_brand", "p_type"), ("type_size", "p_type", "p_size")]
+    return link.best_tier(p.withColumnRenamed("p_partkey", "l_id"), p.withColumnRenamed("p_partkey", "r_id"), "l_id", "r_id", [(n, key(*c), key(*c)) for n, *c in of], others=True)
+
+
+@registered("""
+SELECT o_orderstatus, o_orderpriority, count(*) AS n, CAST(GROUPING(o_orderstatus) * 2 + GROUPING(o_orderpriority) AS BIGINT) AS level
+FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)""")
+def rollup_orders(t):
+    return t("orders").rollup("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"), F.grouping_id().alias("level"))
+
+
+@registered("""
+SELECT l_returnflag, l_linestatus, sum(CAST(l_quantity AS BIGINT))::BIGINT AS quantity FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)""")
+def cube_lines(t):
+    return t("lineitem").cube("l_returnflag", "l_linestatus").agg(F.sum(F.round("l_quantity").cast("long")).alias("quantity"))
+
+
+@registered("""
+SELECT p_brand, p_type, p_size, count(*) AS n FROM part GROUP BY GROUPING SETS ((p_brand, p_size), (p_type), ())""")
+def grouping_sets_parts(t):
+    p = t("part")
+    return p.groupingSets([["p_brand", "p_size"], ["p_type"], []], "p_brand", "p_type", "p_size").agg(F.count("*").alias("n")).select("p_brand", "p_type", "p_size", "n")
+
+
+@registered("""SELECT user_id AS id FROM events WHERE event_type = 'purchase' INTERSECT SELECT user_id FROM events WHERE event_type = 'click'""")
+def users_of_both(t):
+    of = lambda kind: t("events").where(F.col("event_type") == kind).select(F.col("user_id").alias("id"))
+    return of("purchase").intersect(of("click"))
+
+
+@registered("""SELECT o_custkey AS id FROM orders WHERE o_orderstatus = 'F' EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'""")
+def customers_of_one(t):
+    of = lambda status: t("orders").where(F.col("o_orderstatus") == status).select(F.col("o_custkey").alias("id"))
+    return of("F").subtract(of("O"))
 
 
 @registered("""

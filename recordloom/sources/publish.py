@@ -11,13 +11,18 @@ from recordloom.functions.keys import bucket
 
 
 def publish(rows: DataFrame, path: str, key: Sequence[str], *, buckets: int = 64, files: int | None = None) -> None:
-    """Writes ``rows`` by hash bucket of the key, sorted by key in each file; refuses to overwrite and refuses repeated or null keys."""
+    """Writes ``rows`` by hash bucket of the key, sorted by key in each file; refuses to overwrite and refuses repeated or null keys.
+
+    Tasks hold ranges of (bucket, key), ``files`` of them or as many as shuffles have,
+    so a bucket has as many files as its size asks for, each a range of its keys.
+    """
     bad = rows.groupBy(*key).count().where(" or ".join(["count > 1", *(f"{k} is null" for k in key)])).limit(1).count()
     if bad:
         raise ValueError(f"{path}: an identity is null or repeated")
     text = F.concat_ws("@", *(F.col(k).cast("string") for k in key))
     dealt = rows.withColumn("bucket", bucket(text, buckets))
-    dealt = dealt.repartition(files, "bucket") if files else dealt.repartition("bucket")
+    order = ("bucket", *(F.col(k).asc_nulls_last() for k in key))
+    dealt = dealt.repartitionByRange(files, *order) if files else dealt.repartitionByRange(*order)
     dealt.sortWithinPartitions("bucket", *(F.col(k).asc_nulls_last() for k in key)).write.mode("error").partitionBy("bucket").option("compression", "zstd").parquet(path)
 
 

@@ -212,19 +212,30 @@ def pdf_facts(content: Column) -> Column:
 
 
 def image_size(content: bytes) -> tuple[str | None, int | None, int | None]:
-    """Format, width and height from the header of a PNG, GIF or JPEG; nulls for anything else."""
-    if content[:8] == b"\x89PNG\r\n\x1a\n" and len(content) >= 24:
-        return "png", *struct.unpack(">II", content[16:24])
-    if content[:6] in (b"GIF87a", b"GIF89a") and len(content) >= 10:
-        return "gif", *struct.unpack("<HH", content[6:10])
+    """Format, width and height from the header of a PNG, GIF or JPEG. A header that ends too early has its format alone; anything else has nulls."""
+    if content[:8] == b"\x89PNG\r\n\x1a\n":
+        return "png", *(struct.unpack(">II", content[16:24]) if content[12:16] == b"IHDR" and len(content) >= 24 else (None, None))
+    if content[:6] in (b"GIF87a", b"GIF89a"):
+        return "gif", *(struct.unpack("<HH", content[6:10]) if len(content) >= 10 else (None, None))
+    if content[:3] != b"\xff\xd8\xff":
+        return None, None, None
     at = 2
-    while content[:2] == b"\xff\xd8" and at + 9 <= len(content) and content[at] == 0xFF:
-        marker, length = content[at + 1], int.from_bytes(content[at + 2 : at + 4], "big")
-        if 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
+    while at + 1 < len(content) and content[at] == 0xFF:
+        marker = content[at + 1]
+        if marker == 0xFF:  # fill before a marker
+            at += 1
+        elif marker == 0x01 or 0xD0 <= marker <= 0xD7:  # markers without a segment
+            at += 2
+        elif marker in (0xD9, 0xDA):  # the end, or the image itself
+            break
+        elif 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
+            if at + 9 > len(content):
+                break
             height, width = struct.unpack(">HH", content[at + 5 : at + 9])
             return "jpeg", width, height
-        at += 2 + length
-    return None, None, None
+        else:
+            at += 2 + max(2, int.from_bytes(content[at + 2 : at + 4], "big"))
+    return "jpeg", None, None
 
 
 def image_headers(files: DataFrame, key: str = "path", body: str = "content") -> DataFrame:
