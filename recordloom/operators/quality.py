@@ -57,3 +57,23 @@ def page_chain_breaks(pages: DataFrame) -> DataFrame:
     """Pages whose cursor is not the one that the page before announced: ``walk, page``."""
     before = F.lag("next_cursor").over(Window.partitionBy("walk").orderBy("page"))
     return pages.withColumn("expected", before).where("page > 0 and not (cursor <=> expected)").select("walk", "page")
+
+
+def tree_agreement(reference: DataFrame, candidate: DataFrame, by: list[str]) -> DataFrame:
+    """Precision, recall and F1 of a candidate's parent links ``(parent, child)`` for each ``by``: ``shared, n_reference, n_candidate`` and the three.
+
+    Repeated links count once. With links on one side only all three are 0; a group
+    without any has no row.
+    """
+    edge = [*by, "parent", "child"]
+    both = reference.select(*edge, F.lit(1).alias("r"), F.lit(0).alias("c")).union(candidate.select(*edge, F.lit(0), F.lit(1))).groupBy(*edge).agg(F.max("r").alias("r"), F.max("c").alias("c"))
+    n = both.groupBy(*by).agg(F.sum(F.col("r") * F.col("c")).alias("shared"), F.sum("r").alias("n_reference"), F.sum("c").alias("n_candidate"))
+    ratio = lambda of: F.when(F.col(of) > 0, F.col("shared") / F.col(of)).otherwise(0.0)
+    n = n.withColumn("precision", ratio("n_candidate")).withColumn("recall", ratio("n_reference"))
+    total = F.col("n_reference") + F.col("n_candidate")
+    return n.withColumn("f1", 2 * F.col("shared") / total)
+
+
+def unaccounted(blocks: DataFrame, used: DataFrame, unresolved: DataFrame, key: list[str]) -> DataFrame:
+    """Blocks that reached neither a node nor an open region, each once: two anti-joins by ``key``."""
+    return blocks.select(*key).distinct().join(used.select(*key), key, "left_anti").join(unresolved.select(*key), key, "left_anti")

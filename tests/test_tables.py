@@ -144,3 +144,29 @@ def test_lone_backticks_stay(spark):
     from recordloom.functions import identifiers
 
     assert one(spark, identifiers.plain_glyphs, "a `b` ``c'' ‘d’") == "a `b` \"c\" 'd'"
+
+
+def test_requests(spark):
+    from recordloom.functions import requests
+
+    urls = [("https://h.example/a?x=1&page=2&y&page=3#f", "https://h.example/a?x=1&y=&page=a+b"), ("https://h.example/a", "https://h.example/a?page=a+b")]
+    for url, wanted in urls:
+        assert one(spark, lambda u: requests.with_query(u, "page", F.lit("a b")), url) == wanted
+    days = spark.sql("select date'2024-03-01' a, date'2024-02-01' b, cast(null as date) n")
+    got = days.select(requests.day_window(F.col("a"), F.col("a")).alias("x"), requests.day_window(F.col("a"), F.col("b")).alias("y"), requests.day_window(F.col("n"), F.col("b")).alias("z")).first()
+    assert tuple(got.x) == ("2024-02-29T23:59:59Z", "2024-03-02T00:00:00Z") and got.y is None and tuple(got.z) == (None, "2024-02-02T00:00:00Z")
+    assert requests.walk_sizes(250) == [250, 237, 223] and requests.walk_sizes(5) == [5] and requests.reach(250, 10_000) == min(10_000 // s * s for s in (250, 237, 223))
+    fits = spark.sql("select * from values (118, 137), (118, 130), (60, 35), (50, 30), (null, 1) t(c, v)").select(requests.volume_fits(F.col("c"), F.col("v")).alias("x"))
+    assert [r.x for r in fits.collect()] == [True, False, True, None, None]
+    assert one(spark, requests.unwrapped, "a co-\nlumn\nof text") == "a column of text"
+    bad = spark.sql("select array('1234-AB56', 'x', null) l, cast(null as array<string>) n").select(requests.number_problems(F.col("l")).alias("l"), requests.number_problems(F.col("n")).alias("n")).first()
+    assert bad.l == ["x", None] and bad.n == []
+
+
+def test_tree_agreement_without_links(spark):
+    from recordloom.operators import quality
+
+    edges = spark.createDataFrame([("d", 1, 2), ("d", 1, 2), ("d", 1, 3)], "doc string, parent long, child long")
+    got = quality.tree_agreement(edges, edges.where("child = 2"), ["doc"]).first()
+    assert (got.shared, got.n_reference, got.n_candidate, got.precision, got.recall) == (1, 2, 1, 1.0, 0.5) and abs(got.f1 - 2 / 3) < 1e-12
+    assert quality.tree_agreement(edges, edges.limit(0), ["doc"]).first().f1 == 0.0
