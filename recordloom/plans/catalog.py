@@ -155,10 +155,10 @@ def change_events(t):
 
 
 @registered("""
-WITH k AS (SELECT DISTINCT event_id AS k FROM events WHERE event_id % 13 NOT IN (4, 5)), n AS (SELECT k, lead(k) OVER (ORDER BY k) AS nx FROM k)
+WITH k AS (SELECT DISTINCT o_custkey AS k FROM orders), n AS (SELECT k, lead(k) OVER (ORDER BY k) AS nx FROM k)
 SELECT k + 1 AS gap_start, nx - 1 AS gap_end FROM n WHERE nx > k + 1""")
 def contiguity_gaps(t):
-    return quality.gaps(t("events").where("event_id % 13 not in (4, 5)"), "event_id")
+    return quality.gaps(t("orders"), "o_custkey")
 
 
 @registered("""
