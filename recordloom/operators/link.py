@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from recordloom.functions.text import jaccard
 
+#: Rows of one token that meet its queries in one task, about.
+BLOCK = 4096
+
 
 def tiers(left: DataFrame, right: DataFrame, left_id: str, right_id: str, keys: Sequence[tuple[str, Column, Column]]) -> DataFrame:
     """Pairs that share a key, with the best (first) tier on which they do: ``left_id, right_id, tier``.
@@ -74,18 +77,24 @@ def pairs_by_tokens(queries: DataFrame, rows: DataFrame, *, least: float) -> Dat
     """All pairs whose token sets have a Jaccard of at least ``least``: ``q_id, r_id, score``.
 
     Inputs are ``(id, tokens)`` with distinct tokens. Only pairs that share a token
-    of the prefix that any pair of that score must share meet (rarest tokens first).
+    of the prefix that any pair of that score must share meet (rarest tokens first),
+    if their sizes and the tokens behind the shared one leave the score possible. The
+    rows of a token that many have are dealt into blocks of some ``BLOCK``.
     """
     both = queries.select("tokens").union(rows.select("tokens"))
     df = both.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
 
-    def prefixes(side: DataFrame, name: str) -> DataFrame:
-        size = F.size("tokens")
-        long = side.select(F.col("id").alias(name), size.alias("size"), F.explode("tokens").alias("t")).join(df, "t")
+    def prefixes(side: DataFrame, name: str, at: str) -> DataFrame:
+        long = side.select(F.col("id").alias(name), F.size("tokens").alias(f"{at}_size"), F.explode("tokens").alias("t")).join(df, "t")
         w = Window.partitionBy(name).orderBy("df", "t")
-        return long.withColumn("n", F.row_number().over(w)).where(F.col("n") <= F.col("size") - F.ceil(F.col("size") * least) + 1).select(name, "t")
-
-    pairs = prefixes(queries, "q_id").join(prefixes(rows, "r_id"), "t").select("q_id", "r_id").distinct()
+        size = F.col(f"{at}_size")
+        return long.withColumn(at, F.row_number().over(w)).where(F.col(at) <= size - F.ceil(size * least) + 1).withColumn("blocks", F.ceil(F.col("df") / BLOCK)).drop("df")
+
+    q = prefixes(queries, "q_id", "i").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
+    r = prefixes(rows, "r_id", "j").withColumn("block", F.pmod(F.xxhash64("r_id"), F.col("blocks"))).drop("blocks")
+    m, n = F.col("i_size"), F.col("j_size")
+    can = (F.least(m, n) >= F.greatest(m, n) * least - 1e-9) & ((1 + F.least(m - F.col("i"), n - F.col("j")) + F.least("i", "j") - 1) * (1 + least) >= (m + n) * least - 1e-9)
+    pairs = q.join(r, ["t", "block"]).where(can).select("q_id", "r_id").distinct()
     return pairs.join(queries.select(F.col("id").alias("q_id"), F.col("tokens").alias("qt")), "q_id").join(rows.select(F.col("id").alias("r_id"), F.col("tokens").alias("rt")), "r_id").select("q_id", "r_id", jaccard(F.col("qt"), F.col("rt")).alias("score")).where(F.col("score") >= least)
 
 

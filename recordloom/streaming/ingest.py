@@ -19,9 +19,19 @@ def windowed_counts(events: DataFrame, *, late: str = "1 hour", width: str = "1
 
 
 def append_once(stream: DataFrame, path: str, checkpoint: str, key: list[str]) -> StreamingQuery:
-    """Appends each batch without repeated keys in it; a batch that runs again writes its own folder anew, so nothing doubles."""
+    """Appends the rows of keys that no earlier batch has written, one of each; a batch that runs again writes its own folder anew, so nothing doubles.
+
+    The keys written before are anti-joined, so each batch reads the key columns of the
+    table; null keys are never taken for the same. The watermarked
+    ``dropDuplicatesWithinWatermark`` suits streams whose repeats come soon.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.dropDuplicates(key).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        fresh, spark = batch.dropDuplicates(key), batch.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if number and at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            written = spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in batch.schema)}, batch long").parquet(path)
+            fresh = fresh.join(written.where(F.col("batch") < number).select(*key), key, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

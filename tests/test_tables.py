@@ -170,3 +170,30 @@ def test_tree_agreement_without_links(spark):
     got = quality.tree_agreement(edges, edges.where("child = 2"), ["doc"]).first()
     assert (got.shared, got.n_reference, got.n_candidate, got.precision, got.recall) == (1, 2, 1, 1.0, 0.5) and abs(got.f1 - 2 / 3) < 1e-12
     assert quality.tree_agreement(edges, edges.limit(0), ["doc"]).first().f1 == 0.0
+
+
+@pytest.mark.parametrize("block", [2, 4096])
+def test_token_pairs_equal_all_pairs(spark, monkeypatch, block):
+    import random
+
+    from recordloom.operators import link
+
+    monkeypatch.setattr(link, "BLOCK", block)
+    rng = random.Random(20)
+    sets = [sorted(rng.sample("abcdefghijkl", rng.randint(1, 9))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(sets)), "id long, tokens array<string>")
+    for least in (0.3, 0.8):
+        got = {(r.q_id, r.r_id) for r in link.pairs_by_tokens(df, df, least=least).collect()}
+        assert got == {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if len(set(a) & set(b)) >= least * len(set(a) | set(b)) - 1e-9}
+
+
+def test_batches_append_a_key_once(spark, tmp_path):
+    from recordloom.streaming import ingest
+
+    schema = "id long, v string"
+    for n, rows in enumerate(([(1, "a"), (2, "b"), (1, "c")], [(2, "d"), (3, "e")])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{n}.parquet")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in/*.parquet")
+        ingest.append_once(stream, f"{tmp_path}/out", f"{tmp_path}/check", ["id"]).awaitTermination(60)
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert sorted(r.id for r in got) == [1, 2, 3] and {r.v for r in got if r.id == 2} == {"b"}
