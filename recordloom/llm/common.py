@@ -16,6 +16,8 @@ from pyspark.sql.types import StructType
 
 #: Rows of an Arrow batch that are Python objects at one time.
 ROWS = 1000
+#: Bytes of an Arrow batch between the JVM and Python where ``small_batches`` was called.
+BATCH = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +75,18 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches to ``BATCH`` bytes, unless they are smaller already.
+
+    Spark's own bounds, 10,000 rows and 64 MB, let a batch of whole texts grow to that
+    in each task, in the JVM and in its Python worker, there and back. Results don't
+    depend on it. Plans are made when a result is written, so it stays set.
+    """
+    now = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if not 0 < now <= BATCH:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+
 def clean_up(spark: SparkSession) -> None:
     """Deletes all files of ``materialize`` of this application. Results that aren't written yet can't be read after that."""
     at = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/recordloom/{spark.sparkContext.applicationId}")
@@ -116,13 +130,23 @@ def filter_rows(df: DataFrame, column: str, keep: Callable[[list], list[bool]])
 
 
 class Memo(dict):
-    """``memo[key]`` is ``make(key)``, kept for at most ``most`` keys; then it starts anew. Texts over ``long`` aren't kept."""
+    """``memo[key]`` is ``make(key)``, kept for at most ``most`` keys; then it starts anew. Texts over ``long`` aren't kept.
+
+    A process keeps one ``alone`` memo: when another is filled, the one before is
+    emptied. Workers that go from stage to stage would keep those of all stages else.
+    """
+
+    holder: Memo | None = None
 
-    def __init__(self, make: Callable, most: int = 400_000, long: int = 64):
+    def __init__(self, make: Callable, most: int = 400_000, long: int = 64, *, alone: bool = False):
         super().__init__()
-        self.make, self.most, self.long = make, most, long
+        self.make, self.most, self.long, self.alone = make, most, long, alone
 
     def __missing__(self, key):
+        if self.alone and Memo.holder is not self:
+            if Memo.holder is not None:
+                Memo.holder.clear()
+            Memo.holder = self
         if len(self) >= self.most:
             self.clear()
         value = self.make(key)

@@ -35,7 +35,7 @@ SLICE = 2_000_000
 
 _SEPARATORS = [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if c in _SEPARATORS else c for c in range(256))
-_hash = Memo(lambda w: xxhash.xxh64_intdigest(w, 13), 150_000)
+_hash = Memo(lambda w: xxhash.xxh64_intdigest(w, 13), 150_000, alone=True)
 
 
 def words_of(text: str | None) -> list[bytes]:

@@ -40,7 +40,7 @@ def _place(name: str) -> int:
     return xxhash.xxh64_intdigest(name.encode("utf-8", "surrogatepass"), 7) % (FEATURES - 1) + 1
 
 
-_word = Memo(lambda w: (_place("w" + w.strip("!%&*$#|.,;:?\"'()").lower()), _place("s" + _shape(w))), 120_000)
+_word = Memo(lambda w: (_place("w" + w.strip("!%&*$#|.,;:?\"'()").lower()), _place("s" + _shape(w))), 120_000, alone=True)
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:

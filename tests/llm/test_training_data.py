@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from recordloom.llm import chat_format, decontaminate, graph, language_id, license_scan, metric_topk, quality_classifier, secret_scan, shingle_join, simhash_dedup, source_mix, token_counts
+from recordloom.llm import chat_format, common, decontaminate, graph, language_id, license_scan, metric_topk, quality_classifier, secret_scan, shingle_join, simhash_dedup, source_mix, token_counts
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, fp long, comp long, __x string"
 
@@ -340,3 +340,26 @@ def test_pipeline_runs_and_its_decisions_hold(spark):
         assert out.select("doc_id").join(docs.select("doc_id"), "doc_id", "left_anti").count() == 0
     last = corpus_pipeline.run(spark, sf)
     assert 0 < last.count() < docs.count() and last.where(F.col("taken") > 2 * F.col("size")).count() == 0
+
+
+@pytest.mark.parametrize("stage", ["quality", "near_duplicates", "benchmark", "secrets"])
+def test_stages_that_map_texts_bound_their_batches(spark, stage, tmp_path):
+    docs = spark.range(0, 6000, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.concat(F.lit("w"), F.col("id").cast("string"), F.lit(" ")), 700), F.col("id").cast("string")).alias("text"))
+    spark.range(20).selectExpr("id as doc_id", "int(id % 2) as quality", "0 as toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "one two three")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.conf.unset(name := "spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        dict(corpus_pipeline.STAGES)[stage](spark, docs.limit(40), str(tmp_path))
+        sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows], "bytes": [b.nbytes]}) for b in batches), "n long, bytes long").collect()
+    finally:
+        spark.conf.unset(name)
+    assert sum(r.n for r in sizes) == 6000
+    assert max(r.bytes for r in sizes) < 1.5 * common.BATCH
+
+
+def test_a_process_keeps_one_memo_of_those_alone():
+    made = []
+    first, second, other = (common.Memo(lambda w: made.append(w) or len(w), alone=alone) for alone in (True, True, False))
+    assert [first["a"], other["bb"], first["a"], second["ccc"], second["ccc"]] == [1, 2, 1, 3, 3]
+    assert (len(first), len(second), len(other)) == (0, 1, 1)
+    assert first["a"] == 1 and not second and made == ["a", "bb", "ccc", "a"]
